@@ -111,16 +111,15 @@ def _halo_rows(cut, keys, order, span):
     )
 
 
-def over_history(df: DataFrame, columns, key="team", order=ORDER, span=16, hot_rows=None):
-    """``df`` plus ``columns(window)``, one window per ``key`` in ``order``.
+def over_history(df: DataFrame, build, key="team", order=ORDER, span=16, hot_rows=None):
+    """``build(df, window)`` with one window per ``key`` in ``order``.
 
-    ``columns`` takes the window and returns columns whose frames reach at most ``span``
-    rows back.
+    ``build`` adds columns whose values depend on at most ``span`` rows back.
     """
     limit = hot_rows_limit(df, hot_rows)
     found = hot_keys(df, [key], limit)
     if found is None:
-        return df.select("*", *columns(Window.partitionBy(key).orderBy(*order)))
+        return build(df, Window.partitionBy(key).orderBy(*order))
     hot, _, n_rows = found
     cut = _cut(df, [key], order, hot, n_rows, limit)
     halo = _halo_rows(cut, [key], order, span)
@@ -131,7 +130,7 @@ def over_history(df: DataFrame, columns, key="team", order=ORDER, span=16, hot_r
         .unionByName(halo.withColumn(HALO, F.lit(True)))
     )
     window = Window.partitionBy(key, CHUNK).orderBy(*order)
-    return rows.select("*", *columns(window)).where(~F.col(HALO)).drop(CHUNK, HALO)
+    return build(rows, window).where(~F.col(HALO)).drop(CHUNK, HALO)
 
 
 def running_position(df: DataFrame, name: str, keys, order=ORDER, hot_rows=None):

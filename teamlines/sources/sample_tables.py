@@ -21,8 +21,8 @@ def schedule(spark: SparkSession, folder: str) -> DataFrame:
         table("lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(F.when(odd, F.col("l_quantity"))).cast("long").alias("odd_units"),
-            F.sum(F.when(~odd, F.col("l_quantity"))).cast("long").alias("even_units"),
+            F.sum(F.when(odd, F.col("l_quantity")).otherwise(0)).cast("long").alias("odd_units"),
+            F.sum(F.when(~odd, F.col("l_quantity")).otherwise(0)).cast("long").alias("even_units"),
         )
     )
     teams = table("customer").agg(F.count("*").alias("nc")).scalar()
