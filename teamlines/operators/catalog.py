@@ -141,7 +141,7 @@ def null_audit(df: DataFrame, before=()) -> DataFrame:
     added = [c for c in df.columns if c not in set(before)]
     counts = df.agg(
         F.array(
-            *[F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("nulls")) for c in added]
+            *[F.struct(F.lit(c).alias("feature"), F.count_if(F.col(c).isNull()).alias("nulls")) for c in added]
         ).alias("counts")
     )
     return counts.select(F.inline("counts")).where(F.col("nulls") > 0)

@@ -138,11 +138,13 @@ def contiguous_folds(df: DataFrame, k=3, name="block") -> DataFrame:
 
 
 def seeded_hash(column="game_id", seed=42) -> Column:
-    """A repeatable shuffle key; for keys that are not numbers, of their digest."""
-    return ((F.col(column).cast("decimal(38,0)") + seed) * HASH_FACTOR % HASH_MODULUS).cast("long")
+    """A repeatable shuffle key of a whole-number column."""
+    reduced = F.pmod(F.col(column) + F.lit(seed), F.lit(HASH_MODULUS))
+    return reduced * F.lit(HASH_FACTOR) % F.lit(HASH_MODULUS)
 
 
 def text_hash(column="game_id", seed=42) -> Column:
+    """A repeatable shuffle key of any other column, from its digest."""
     digest = F.md5(F.concat(F.col(column).cast("string"), F.lit(f"/{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % HASH_MODULUS
 
