@@ -16,10 +16,9 @@ from teamlines.plans import features as f
 from teamlines.plans import encode, models, scoring
 from teamlines.plans.betting_runs import run_backtest, run_training
 from teamlines.plans.prepare import prepare_data
-from teamlines.schema import GAME_TYPES
-from teamlines.session import shared_dir
+from teamlines.session import materialized, shared_dir
 from teamlines.sources import sample_tables
-from teamlines.sources.schedules import load_games, load_schedules, save_features, to_team_games
+from teamlines.sources.schedules import load_games, load_schedules, save_features
 
 KEYS = ["game_id", "team"]
 TEST_SEASON = 2001
@@ -452,7 +451,7 @@ QUICK_SPACE = dict(maxIter=(2, 5), maxDepth=(2, 4), stepSize=(0.05, 0.2))
 
 
 def _prepared(spark, folder):
-    return prepare_data(f.create_all_features(tg(spark, folder)), TEST_SEASON)
+    return prepare_data(materialized(f.create_all_features(tg(spark, folder))), TEST_SEASON)
 
 
 def _final(kind):
@@ -489,8 +488,8 @@ def random_search(spark, folder):
 def walk_forward(spark, folder):
     train, _, names, target = _prepared(spark, folder)
     scores, _, _ = models.walk_forward(
-        train, names, target, n_folds=2, trials=2, space=QUICK_SPACE, boosted=QUICK,
-        forest=QUICK_FOREST, selector=QUICK_SELECTOR,
+        train, names, target, n_folds=2, models=["base", "optimized", "forest"], trials=2,
+        space=QUICK_SPACE, boosted=QUICK, forest=QUICK_FOREST, selector=QUICK_SELECTOR,
     )
     return scores
 
@@ -512,8 +511,7 @@ def rf_backtest(spark, folder):
 
 
 def score_upcoming(spark, folder):
-    rows = f.create_all_features(tg(spark, folder))
-    train, test, names, target = prepare_data(rows, TEST_SEASON)
+    train, test, names, target = _prepared(spark, folder)
     pipeline, _, _ = models.train_final(train, test, names, target, boosted=QUICK, selector=QUICK_SELECTOR)
     upcoming = train.unionByName(test)
     return scoring.predict_upcoming_games(pipeline, upcoming)

@@ -1,6 +1,7 @@
 """Session helpers: a local builder for tests and the shared checkpoint folder."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,14 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def materialized(df):
+    """``df`` written to Parquet in the shared folder and read back.
+
+    For frames that several jobs read, such as the inputs of model fits: the lineage is
+    cut, the files survive lost executors, and readers still prune columns.
+    """
+    path = f"{shared_dir(df.sparkSession)}/teamlines-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
