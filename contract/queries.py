@@ -26,13 +26,9 @@ EARLY_SEASONS = [1995, 1996, 1997, 1998, 1999]
 
 
 def rounded(df: DataFrame, digits=6) -> DataFrame:
-    """Doubles to six digits, no negative zero, so that two engines can be compared."""
-    def tidy(c):
-        value = F.round(F.col(c), digits)
-        return F.when(value == 0, F.lit(0.0)).otherwise(value).alias(c)
-
+    """Doubles to six digits, so that two engines can be compared."""
     doubles = {n for n, t in df.dtypes if t == "double"}
-    return df.select(*[tidy(c) if c in doubles else F.col(c) for c in df.columns])
+    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 def tg(spark, folder):
@@ -334,8 +330,13 @@ def _prepared_games(restart):
     return run
 
 
+def _prepared(spark, folder):
+    """Feature rows are written once: train, test and every fit read them again."""
+    return prepare_data(materialized(f.create_all_features(tg(spark, folder))), TEST_SEASON)
+
+
 def prepared(spark, folder):
-    train, test, names, target = prepare_data(f.create_all_features(tg(spark, folder)), TEST_SEASON)
+    train, test, names, target = _prepared(spark, folder)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.select("game_id", "team", "part", target, "implied_spread", *names)
 
@@ -450,10 +451,6 @@ QUICK_SELECTOR = dict(boosted=dict(maxIter=3, maxDepth=4), forest=QUICK_FOREST)
 QUICK_SPACE = dict(maxIter=(2, 5), maxDepth=(2, 4), stepSize=(0.05, 0.2))
 
 
-def _prepared(spark, folder):
-    return prepare_data(materialized(f.create_all_features(tg(spark, folder))), TEST_SEASON)
-
-
 def _final(kind):
     def run(spark, folder):
         train, test, names, target = _prepared(spark, folder)
@@ -607,8 +604,11 @@ FITTED = {
 }
 
 
+REGISTERED = {**CHECKED, **FITTED}
+
+
 def all_queries():
     def tidy(run):
         return lambda spark, folder: rounded(run(spark, folder))
 
-    return {name: tidy(run) for name, run in {**CHECKED, **FITTED}.items()}
+    return {name: tidy(run) for name, run in REGISTERED.items()}

@@ -90,14 +90,10 @@ def _cut_keys(keyed: DataFrame, group, positions: dict):
     )
     hits = hits.select(*group, *[f"_{f}" for f in cell], "cut", (F.col("at") - F.col("_before")).alias("_rank"))
     # one row per cut and group: as few as there are names and groups
-    few = F.broadcast(hits)
     rows = keyed.select("*", *[F.col(f"_key.{f}").alias(f"_{f}") for f in cell])
-    inside = Window.partitionBy(*group, *[f"_{f}" for f in cell]).orderBy("_key")
-    places = F.broadcast(hits.select(*group, *[f"_{f}" for f in cell]).distinct())
-    ranked = rows.join(places, [*group, *[f"_{f}" for f in cell]], "left_semi").withColumn(
-        "_rank", F.row_number().over(inside) - 1
-    )
-    found = ranked.join(few, [*group, *[f"_{f}" for f in cell], "_rank"])
+    ranked = rows.join(F.broadcast(hits), [*group, *[f"_{f}" for f in cell]])
+    inside = Window.partitionBy(*group, "cut").orderBy("_key")
+    found = ranked.withColumn("_at", F.row_number().over(inside) - 1).where(F.col("_at") == F.col("_rank"))
     return found.groupBy(*group).agg(
         *[F.max(F.when(F.col("cut") == name, F.col("_key"))).alias(name) for name in positions]
     )
