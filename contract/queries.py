@@ -1,7 +1,5 @@
 """The registered queries: each takes (spark, folder of tables) and returns a DataFrame."""
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from teamlines.plans import features as f
 from teamlines.plans import encode, models, scoring
 from teamlines.plans.betting_runs import run_backtest, run_training
 from teamlines.plans.prepare import prepare_data
-from teamlines.session import materialized, shared_dir
+from teamlines.session import materialized, scratch_path
 from teamlines.sources import sample_tables
 from teamlines.sources.schedules import load_games, load_schedules, save_features
 
@@ -70,7 +68,7 @@ def load_team_games(spark, folder):
 
 def schedule_files(spark, folder):
     """Schedule written by season and read back with a season and type filter."""
-    path = tempfile.mktemp(prefix="schedule-", dir=shared_dir(spark))
+    path = scratch_path(spark, "schedule")
     games = sample_tables.schedule(spark, folder)
     games.write.partitionBy("season").parquet(path)
     return load_schedules(spark, path, EARLY_SEASONS, schema=games.schema)
@@ -78,7 +76,7 @@ def schedule_files(spark, folder):
 
 def feature_file(spark, folder):
     """Feature rows to CSV and back."""
-    path = tempfile.mktemp(prefix="features-", dir=shared_dir(spark))
+    path = scratch_path(spark, "features")
     built = f.build_features(tg(spark, folder))
     save_features(built, path, "csv")
     return load_games(spark, path, built.schema).select(

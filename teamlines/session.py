@@ -47,12 +47,17 @@ def checkpointed(df):
     return df.checkpoint()
 
 
+def scratch_path(spark, prefix="frame"):
+    """A path in the shared folder that no other run uses."""
+    return f"{shared_dir(spark)}/teamlines-{prefix}-{uuid.uuid4().hex}"
+
+
 def materialized(df):
     """``df`` written to Parquet in the shared folder and read back.
 
     For frames that several jobs read, such as the inputs of model fits: the lineage is
     cut, the files survive lost executors, and readers still prune columns.
     """
-    path = f"{shared_dir(df.sparkSession)}/teamlines-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
