@@ -58,7 +58,7 @@ def test_model_kinds(small, kind):
 
 def test_unknown_model_is_an_error(small):
     with pytest.raises(ValueError, match="unknown model"):
-        models.fit_model("lgb", small[0])
+        models.fit_model("other", small[0])
 
 
 def test_importances_and_top_features(small):
@@ -93,6 +93,16 @@ def test_walk_forward(prepared):
     assert scores.count() == 4 and best in ("base", "forest") and params is None
 
 
+def test_missing_numbers_become_zero_with_a_flag(spark):
+    rows = spark.createDataFrame([(None, "dome", "x'y"), (2.0, None, "a")], "rest_days double, roof string, surface string")
+    stages, names = encode.encoding_stages(rows, ["rest_days", "roof", "surface"], missing_flags=True)
+    assert names == ["rest_days", "surface_x'y", "rest_days_missing"]
+    for stage in stages:
+        rows = stage.transform(rows)
+    got = [list(r.features.toArray()) for r in rows.orderBy(F.col("rest_days").asc_nulls_first()).collect()]
+    assert got == [[0.0, 1.0, 1.0], [2.0, 0.0, 0.0]]
+
+
 def test_unknown_category_gives_zeros(spark, prepared):
     train = prepared[0]
     odd = train.limit(1).withColumn("roof", F.lit("glass"))
