@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from teamlines.llm import exact, lines, secrets
+from teamlines.llm import exact, lines, neardup, secrets
 from teamlines.llm.common import read_table
 
 
@@ -21,10 +21,16 @@ def op9_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("text_sha256"))
 
 
+def op10_minhash_near_dedup(spark, sf_dir):
+    found = neardup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op9_line_dedup": op9_line_dedup,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 EXACT_SQL = r"""
