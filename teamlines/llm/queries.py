@@ -2,10 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from teamlines.llm import exact, lines, neardup, secrets
+from teamlines.llm import decontam, exact, langid, lines, neardup, packing, quality, secrets, tokens, warc
 from teamlines.llm.common import read_table
 
 
+def op1_separator_scan(spark, sf_dir):
+    """Tokens of each document, counted between the separators of flat token files."""
+    found = tokens.token_counts(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "tokens")
+
+
+def op2_warc_packages(spark, sf_dir):
+    files = warc.write_packages(read_table(spark, sf_dir, "pages"))
+    found = warc.read_records(files)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_exact_dedup(spark, sf_dir):
     found = exact.duplicate_groups(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -16,6 +28,27 @@ def op4_secret_scan(spark, sf_dir):
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op5_language_id(spark, sf_dir):
+    found = langid.languages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_quality_classifier(spark, sf_dir):
+    found = quality.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_mixture_packing(spark, sf_dir):
+    found = packing.pack(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op8_benchmark_decontamination(spark, sf_dir):
+    """A row per document and benchmark item found in it."""
+    found = decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "edits", "start", "end")
+
+
 def op9_line_dedup(spark, sf_dir):
     found = lines.remove_boilerplate(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("text_sha256"))
@@ -27,10 +60,19 @@ def op10_minhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
-    "op3_exact_dedup": op3_exact_dedup,
-    "op4_secret_scan": op4_secret_scan,
-    "op9_line_dedup": op9_line_dedup,
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    f.__name__: f
+    for f in (
+        op1_separator_scan,
+        op2_warc_packages,
+        op3_exact_dedup,
+        op4_secret_scan,
+        op5_language_id,
+        op6_quality_classifier,
+        op7_mixture_packing,
+        op8_benchmark_decontamination,
+        op9_line_dedup,
+        op10_minhash_near_dedup,
+    )
 }
 
 EXACT_SQL = r"""
@@ -107,7 +149,29 @@ FROM l LEFT JOIN b ON trim(l.line) = b.key
 GROUP BY doc_id
 """
 
+# DuckDB has SHA-1 in hex only: base32 is taken from the bits of the digest, five at a time.
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+b AS (
+  SELECT *, array_to_string(list_transform(string_split(hex, ''), lambda c:
+    lpad(bin(CAST(instr('0123456789abcdef', c) - 1 AS INTEGER)), 4, '0')), '') AS bits
+  FROM g
+)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(list_sum(list_transform(range(0, 5), lambda j:
+                  CAST(substr(bits, CAST(5 * i + j + 1 AS INTEGER), 1) AS INTEGER) * (1 << CAST(4 - j AS INTEGER)))) AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
 ORACLES = {
+    "op2_warc_packages": WARC_SQL,
     "op3_exact_dedup": EXACT_SQL,
     "op4_secret_scan": secrets_sql(),
     "op9_line_dedup": LINES_SQL,
