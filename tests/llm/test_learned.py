@@ -88,7 +88,7 @@ def test_normal_equations_summed_by_parts(spark, written):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, len(quality.STATISTICS)))
     y = (x[:, 0] > 0).astype(float)
-    model = quality.fit(written([(r.tolist(), v) for r, v in zip(x, y)], "stats array<double>, label double"), frequencies=40)
+    model = quality.fit(written([(r.tolist(), float(v)) for r, v in zip(x, y)], "stats array<double>, label double"), frequencies=40)
     z = model.features(x)
     want = np.linalg.solve(z.T @ z + 300 * quality.PENALTY * np.eye(41), z.T @ y)
     assert np.allclose(model.weights, want)

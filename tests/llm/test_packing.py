@@ -101,8 +101,9 @@ def test_a_plain_round_robin_serves_packets_in_the_same_rounds():
 
 
 def test_empty(written):
-    assert packing.pack(table(written, [])).count() == 0
-    assert tokens.token_counts(table(written, [])).count() == 0
+    docs = table(written, [])
+    assert packing.pack(docs).count() == 0
+    assert tokens.token_counts(docs).count() == 0
 
 
 @pytest.mark.parametrize("block", [7, 1000, 1 << 20])
