@@ -1,8 +1,12 @@
 """Helpers the corpus operators share."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROOT = str(Path(__file__).resolve().parents[2])
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -30,8 +34,17 @@ def with_row_id(df: DataFrame, name="row_id"):
     return df.withColumn(name, F.monotonically_increasing_id()), name
 
 
+def _importable(spark):
+    """Lets Python workers import this package from where the driver did (a cluster has it installed there or gets it by --py-files)."""
+    workers = spark.sparkContext.environment
+    paths = workers.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def rows_of(df: DataFrame, **columns):
     """Only the named columns under fixed names, with ``row_id``: extra or clashing columns never matter."""
+    _importable(df.sparkSession)
     picked = df.select(*[(df[c] if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
     return picked.withColumn("row_id", F.monotonically_increasing_id())
 

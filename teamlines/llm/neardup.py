@@ -14,8 +14,9 @@ Two linked sets share at least ``least_shared`` retained values (same bound). If
 of those lists is short, or holds one component only, nothing is missed. Documents with that many
 values in long lists of several components are compared once more, exactly: their shingles are
 ordered rarest first, and the first ``n - ceil(t n) + 1`` of each are looked up (linked sets
-always share one of these). Lists that are still long give up one member a round, from the
-rarest component, compared with all others, until each holds one component. No partner is capped.
+always share one of these). What is left are long lists of texts just below and above the
+threshold: every member outside a list's largest component is compared with the whole list, in
+blocks of bounded memory that give out links alone. No partner is capped.
 """
 
 from math import comb
@@ -33,7 +34,9 @@ from teamlines.session import materialized
 WIDTH, PERCENT = 5, 80
 RETAINED = 32
 SHORT_LIST = 32
-PER_CENTRE = 128  # partners that one task compares with a centre before a copy of it goes to another
+PER_CENTRE = 128  # partners of a centre, about, in one block
+CENTRES, CENTRE_VALUES = 128, 1 << 21  # centres of a block, and values of their sets, about
+PER_BLOCK = 4096  # other members of a block, about
 
 
 def least_shared(k, percent, chance=1e-9):
@@ -100,35 +103,87 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent, k):
     return told.where(F.when(whole, sure).otherwise(F.col("both") >= least_shared(k, percent))).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width, percent):
-    """The pairs whose full sets have ``100 |A & B| >= percent |A | B|``.
+def confirmed(asked: DataFrame, texts: DataFrame, width, percent):
+    """Links ``a, b`` within blocks ``x, y, z, row_id, other``: every centre against every other row of its block.
 
-    The texts of a pair meet at ``a``; a centre of many pairs is copied once for ``PER_CENTRE`` of
-    them. Each task reads its pairs in order and holds one centre's set at a time.
+    The texts of a block meet in one task, centres first. It holds the centres' sets as one index
+    and reads the other texts one by one, so its memory doesn't grow with the block.
     """
-    pairs = materialized(pairs)
-    often = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    salted = pairs.join(often, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), 1 + n div {PER_CENTRE})").alias("salt"))
-    centres = salted.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("row_id"), F.lit(False).alias("other"))
-    asked = centres.union(salted.select("a", "salt", F.col("b").alias("row_id"), F.lit(True).alias("other")))
-    met = asked.join(texts.select("row_id", "text"), "row_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "other")
+    key = ["x", "y", "z"]
+    met = asked.join(texts.select("row_id", "text"), "row_id").repartition(*key).sortWithinPartitions(*key, "other")
 
     def compare(batches):
-        centre = np.empty(0, np.int64)
+        block, centres = None, None
         for batch in batches:
             a, b = [], []
             sets = shingle_sets(batch.column("text").to_pylist(), width)
-            for key, row, other, values in zip(batch.column("a").to_pylist(), batch.column("row_id").to_pylist(), batch.column("other").to_pylist(), sets):
+            told = zip(*(batch.column(c).to_pylist() for c in [*key, "row_id", "other"]), sets)
+            for x, y, z, row, other, values in told:
+                if block != (x, y, z):
+                    block, centres = (x, y, z), _Centres()
                 if not other:
-                    centre = values
+                    centres.add(row, values)
                     continue
-                both = len(np.intersect1d(centre, values, assume_unique=True))
-                if both and 100 * both >= percent * (len(centre) + len(values) - both):
-                    a.append(key)
-                    b.append(row)
+                near = [c for c in centres.linked(values, percent) if c != row]
+                a += near
+                b += [row] * len(near)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return materialized(met.mapInArrow(compare, "a long, b long"))
+    return materialized(met.select(*key, "row_id", "other", "text").mapInArrow(compare, "a long, b long"))
+
+
+class _Centres:
+    """The sets of a block's centres and an index of their values."""
+
+    def __init__(self):
+        self.rows, self.sets, self.values = [], [], None
+
+    def add(self, row, values):
+        self.rows.append(row)
+        self.sets.append(values)
+
+    def linked(self, values, percent):
+        if self.values is None:
+            self.rows, self.sizes = np.array(self.rows, np.int64), np.array([len(s) for s in self.sets], np.int64)
+            flat = np.concatenate(self.sets) if self.sets else np.empty(0, np.int64)
+            order = np.argsort(flat, kind="stable")
+            self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[order]
+            self.values, self.first, self.many = np.unique(flat[order], return_index=True, return_counts=True)
+            self.sets = None
+        if not len(self.values):
+            return []
+        at = np.searchsorted(self.values, values)
+        at[at == len(self.values)] = 0
+        at = at[self.values[at] == values]
+        n = self.many[at]
+        listing = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(n)[:-1]])[: len(n)], n) + np.arange(n.sum())
+        both = np.bincount(self.owner[listing.astype(np.int64)], minlength=len(self.rows))
+        near = (both > 0) & (100 * both >= percent * (self.sizes + len(values) - both))
+        return self.rows[near].tolist()
+
+
+def _pair_blocks(pairs: DataFrame):
+    """Blocks of one centre ``a``; one with many partners has a block for every ``PER_CENTRE`` of them."""
+    pairs = materialized(pairs)
+    often = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    salted = pairs.join(often, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), 1 + n div {PER_CENTRE})").alias("y"))
+    z = F.lit(0).cast("long").alias("z")
+    centres = salted.select("a", "y").distinct().select(F.col("a").alias("x"), "y", z, F.col("a").alias("row_id"), F.lit(False).alias("other"))
+    return centres.union(salted.select(F.col("a").alias("x"), "y", z, F.col("b").alias("row_id"), F.lit(True).alias("other")))
+
+
+def _rest_blocks(rest: DataFrame):
+    """Blocks that compare all members of an open list outside its largest component with the whole list."""
+    sizes = rest.groupBy("value", "label").agg(F.count("*").alias("size"), F.sum(F.greatest("n", F.lit(CENTRE_VALUES // CENTRES))).alias("weight"))
+    whole = sizes.groupBy("value").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("length"))
+    outside = sizes.join(whole, "value").where("label <> most.label").groupBy("value", "length", F.col("most.label").alias("most"))
+    plan = materialized(outside.agg(F.expr(f"1 + sum(weight) div {CENTRE_VALUES}").alias("parts")))
+    planned = rest.join(plan, "value").withColumn("salts", F.expr(f"1 + length div {PER_BLOCK}"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    centres = planned.where("label <> most").select("value", F.expr("pmod(xxhash64(row_id), parts)").alias("y"), "salts", "row_id")
+    centres = centres.select(F.col("value").alias("x"), "y", every("salts").alias("z"), "row_id", F.lit(False).alias("other"))
+    others = planned.select(F.col("value").alias("x"), every("parts").alias("y"), F.expr("pmod(xxhash64(row_id), salts)").alias("z"), "row_id", F.lit(True).alias("other"))
+    return centres.union(others)
 
 
 def _open(lists: DataFrame, labels: DataFrame, short):
@@ -158,33 +213,27 @@ def _rare_first(rows: DataFrame, width, percent):
     return ranked.where(f"place <= n - (n * {percent} + 99) div 100 + 1").select("row_id", "n", "value")
 
 
-def links(docs: DataFrame, sketches: DataFrame, width, percent, k, short, text="text"):
-    """Confirmed links ``a, b`` that join all rows of ``sketches`` as every link would, and the components."""
+def linked_rows(docs: DataFrame, sketches: DataFrame, width, percent, k, short, text="text"):
+    """Labels of the components that all links between rows of ``sketches`` make."""
     texts = rows_of(docs, text=text)
     lists = _lists(sketches.select("row_id", "n", F.explode("sketch").alias("value")))
 
-    def compare(pairs):
-        return confirmed(_estimated(pairs, sketches, percent, k), texts, width, percent)
+    def compare(lists):
+        return confirmed(_pair_blocks(_estimated(_pairs(lists, percent, short), sketches, percent, k)), texts, width, percent)
 
-    found = compare(_pairs(lists, percent, short))
+    found = compare(lists)
     labels = components(found)
     hard = _open(lists, labels, short).groupBy("row_id", "n").agg(F.count("*").alias("open"))
     hard = materialized(hard.where(F.col("open") >= F.least(F.lit(least_shared(k, percent)), F.expr(f"(n * {percent} + 99) div 100"))))
     if hard.isEmpty():
-        return found, labels
+        return labels
     lists = _lists(_rare_first(texts.join(hard.select("row_id"), "row_id", "left_semi"), width, percent))
-    found = found.union(compare(_pairs(lists, percent, short)))
+    found = found.union(compare(lists))
     labels = components(found)
     rest = _open(lists, labels, short)
-    while not rest.isEmpty():
-        sizes = rest.groupBy("value", "label").agg(F.count("*").alias("size"), F.min("row_id").alias("first"))
-        turn = sizes.groupBy("value").agg(F.min(F.struct("size", "first", "label")).alias("c")).select("value", "c.first", F.col("c.label").alias("own"))
-        turn = materialized(rest.join(turn, "value"))
-        found = found.union(compare(turn.where("label <> own").select(F.col("first").alias("a"), F.col("row_id").alias("b")).distinct()))
-        labels = components(found)
-        left = turn.where("row_id <> first").select("value", "row_id", "n", F.lit(short + 1).alias("length"))
-        rest = _open(left, labels, short)
-    return found, labels
+    if rest.isEmpty():
+        return labels
+    return components(found.union(confirmed(_rest_blocks(rest), texts, width, percent)))
 
 
 def near_duplicates(docs: DataFrame, width=WIDTH, percent=PERCENT, k=RETAINED, short=SHORT_LIST, text="text", doc_id="doc_id"):
@@ -199,7 +248,7 @@ def near_duplicates(docs: DataFrame, width=WIDTH, percent=PERCENT, k=RETAINED, s
     full = rows.where("n > 0")
     classes = materialized(full.groupBy("digest").agg(F.min("row_id").alias("chosen")))
     sketches = full.join(classes.select(F.col("chosen").alias("row_id")), "row_id", "left_semi").select("row_id", "n", "sketch")
-    _, labels = links(docs, materialized(sketches), width, percent, k, short, text)
+    labels = linked_rows(docs, materialized(sketches), width, percent, k, short, text)
     named = full.select("row_id", "doc_id", "digest").join(classes, "digest")
     named = named.join(labels.withColumnRenamed("row_id", "chosen"), "chosen", "left")
     member = materialized(named.select("row_id", "doc_id", F.coalesce("label", "chosen").alias("label")))
