@@ -342,7 +342,7 @@ labelled AS (
   SELECT a.game_id, a.season, a.prob,
          CASE WHEN a.points_for - b.points_for + a.spread_line > 0 THEN 1 ELSE 0 END AS label
   FROM stand_in a JOIN stand_in b ON a.game_id = b.game_id AND a.is_home = 1 AND b.is_home = 0
-  WHERE a.points_for - b.points_for + a.spread_line <> 0 AND a.prob IS NOT NULL)"""
+  WHERE a.points_for - b.points_for + a.spread_line <> 0)"""
 
 PAIRED = f"""{STAND_IN},
 predicted AS (
@@ -408,8 +408,8 @@ season_lines AS ({filled("built")}),
 probable AS (
   SELECT season, beat_spread, CASE WHEN is_home = 1 THEN {HOME_ML} ELSE {AWAY_ML} END AS prob FROM season_lines),
 called AS (
-  SELECT season, (prob >= 0.55e0) = beat_spread AS good, (prob >= 0.6e0 OR prob <= 0.4e0) AS bet
-  FROM probable WHERE prob IS NOT NULL),
+  SELECT season, coalesce(prob >= 0.55e0, false) = beat_spread AS good, (prob >= 0.6e0 OR prob <= 0.4e0) AS bet
+  FROM probable),
 counted AS (
   SELECT season, count(*) AS games, count(*) FILTER (bet) AS bets, avg(CAST(good AS INTEGER)) AS acc,
          count(*) FILTER (bet AND good) AS wins
@@ -431,6 +431,27 @@ PREPARED_NAMES = [
 ]
 
 
+FIXED_PRESENT = [
+    "is_home", "neutral", "rest_days", "spread_line", "total_line", "roof", "surface", "implied_points", "implied_total",
+    *[f"{p}_{n}" for p in ("pf_avg", "pf_std", "pa_avg", "pa_std", "opp_pf_avg", "opp_pa_avg") for n in FEATURE_WINDOWS],
+    "off_vs_def", "def_vs_off", "dome_game", "outdoor_game", "turf_game", "season_progress",
+]
+CATEGORY_MARKS = {
+    "market": ("spread", "total", "implied"),
+    "form": ("pf_avg", "pa_avg", "win_streak", "recent_form"),
+    "matchup": ("opp_", "off_vs", "def_vs"),
+    "situational": ("rest", "neutral", "dome", "turf", "season_progress"),
+}
+CATEGORY_SIZES = {k: sum(any(m in c for m in marks) for c in PREPARED_NAMES) for k, marks in CATEGORY_MARKS.items()}
+CATEGORY_SIZES["other"] = sum(not any(m in c for marks in CATEGORY_MARKS.values() for m in marks) for c in PREPARED_NAMES)
+TG_TYPES = {
+    **dict.fromkeys(["game_id", "team", "opp", "points_for", "points_against", "home_rest", "away_rest"], "bigint"),
+    **dict.fromkeys(["season", "week", "is_home", "overtime"], "int"),
+    **dict.fromkeys(["spread_line", "total_line", "home_moneyline", "away_moneyline"], "double"),
+    **dict.fromkeys(["gameday", "date"], "date"),
+}
+
+
 def restarted():
     """Rolling means that start anew in the test seasons."""
     return leveled(partition="PARTITION BY season IN (2000, 2001), team ORDER BY date, game_id")
@@ -461,6 +482,27 @@ def oracles():
         "feature_file": query(
             f"SELECT game_id, team, date, gametime, roof, {game_diffs}, beat_spread FROM built", diffs, built()
         ),
+        "feature_job": query(
+            "SELECT game_id, team, date, season, beat_spread, diff_pf_avg_3, pd_avg_8 FROM built", ["diff_pf_avg_3", "pd_avg_8"], built()
+        ),
+        "column_profile": query(
+            " UNION ALL ".join(
+                f"SELECT {i} AS position, '{c}' AS feature, '{TG_TYPES.get(c, 'string')}' AS dtype, count({c}) AS known FROM tg"
+                for i, c in enumerate(TG_COLUMNS)
+            )
+        ),
+        "fixed_features": query(
+            " UNION ALL ".join(
+                f"SELECT {i} AS position, '{c}' AS feature, count({c}) AS known FROM full_rows" for i, c in enumerate(FIXED_PRESENT)
+            ),
+            (),
+            EVERYTHING,
+        ),
+        "category_report": query(
+            "SELECT category, CAST(features AS INTEGER) AS features, n_rows FROM (VALUES "
+            + ", ".join(f"('{k}', {v})" for k, v in CATEGORY_SIZES.items())
+            + ") AS sizes(category, features) CROSS JOIN (SELECT count(*) AS n_rows FROM tg)"
+        ),
         "profile": query(
             "SELECT count(*) AS n_rows, min(season) AS first_season, max(season) AS last_season, "
             "count(DISTINCT team) AS teams, count(*) // 2 AS games FROM tg"
@@ -484,6 +526,11 @@ def oracles():
             "SELECT CASE WHEN season < 2000 THEN 'train' ELSE 'test' END AS part, season, count(*) AS n_rows "
             "FROM tg WHERE season <= 2000 AND points_for IS NOT NULL GROUP BY ALL"
         ),
+        "expanding_seasons": query(
+            "SELECT CASE WHEN tg.season < t.season THEN 'train' ELSE 'test' END AS part, t.season AS test_season, count(*) AS n_rows "
+            "FROM tg JOIN (SELECT DISTINCT season FROM tg ORDER BY season OFFSET 3) t ON tg.season <= t.season "
+            "WHERE points_for IS NOT NULL GROUP BY ALL"
+        ),
         "drop_pushes": query(
             "SELECT game_id, actual_spread, spread_line AS spread_line_signed, ats_margin, beat_spread_home "
             "FROM game_rows WHERE coalesce(ats_margin <> 0, true)",
@@ -575,6 +622,15 @@ def oracles():
             built("-is_home, date, game_id"),
         ),
         "team_features": picked([*TEAM_COLUMNS, *TEAM_PLAIN], "team_rows", ROLLED),
+        "team_features_split": picked([*TEAM_COLUMNS, *TEAM_PLAIN], "team_rows", ROLLED),
+        "matchup_date": query(
+            "SELECT a.game_id, a.team, b.pf_avg_5 AS opp_pf_avg_5, b.form_ema_9 AS opp_form_ema_9, a.pf_avg_5 - b.pa_avg_5 AS off_vs_def, "
+            "a.pf_avg_5 + a.pa_avg_5 - (b.pf_avg_5 + b.pa_avg_5) AS pace_differential, a.form_ema_9 - b.form_ema_9 AS form_diff, "
+            "(a.pf_std_5 + a.pa_std_5) / 2 - (b.pf_std_5 + b.pa_std_5) / 2 AS volatility_diff "
+            "FROM team_rows a LEFT JOIN team_rows b ON a.opp = b.team AND a.date = b.date",
+            ["opp_pf_avg_5", "opp_form_ema_9", "off_vs_def", "pace_differential", "form_diff", "volatility_diff"],
+            ROLLED,
+        ),
         "situational": query(
             f"SELECT game_id, team, {PLACES}, {columns(SITUATION)} FROM tg", ["season_progress"]
         ),
@@ -676,4 +732,24 @@ def oracles():
             ["home_pred", "away_pred", "pred_spread", "spread_low", "spread_high", "pred_total", "total_low", "total_high", "confidence"],
             PAIRED,
         ),
+        "upcoming_predictions": query(
+            "SELECT game_id, season, week, date, team, opp, is_home, points_for, spread_line, total_line, prediction FROM stand_in "
+            "WHERE points_for IS NULL",
+            [*lines, "prediction"],
+            STAND_IN,
+        ),
+        "upcoming_formatted": query(
+            "SELECT game_id, round(home_pred, 1) AS home_pred, round(away_pred, 1) AS away_pred, round(pred_spread, 1) AS pred_spread, "
+            "round(pred_spread - 1.96e0 * s, 1) AS spread_low, round(pred_spread + 1.96e0 * s, 1) AS spread_high, "
+            "round(pred_total, 1) AS pred_total, round(pred_total - 1.96e0 * t, 1) AS total_low, round(pred_total + 1.96e0 * t, 1) AS total_high, "
+            "abs(pred_spread - spread_line) / s AS confidence FROM predicted CROSS JOIN (SELECT stddev_samp(pred_spread - actual_spread) AS s, "
+            "stddev_samp(pred_total - actual_total) AS t FROM predicted) WHERE home_actual IS NULL",
+            ["home_pred", "away_pred", "pred_spread", "spread_low", "spread_high", "pred_total", "total_low", "total_high", "confidence"],
+            PAIRED,
+        ),
+        "ridge_line": query(
+            "SELECT sxy / (sxx + 1) AS coefficient, my - sxy / (sxx + 1) * mx AS intercept FROM (SELECT regr_sxy(points_for, total_line) AS sxy, "
+            "regr_sxx(points_for, total_line) AS sxx, regr_avgx(points_for, total_line) AS mx, regr_avgy(points_for, total_line) AS my FROM tg)",
+            ["coefficient", "intercept"],
+        ),
     }

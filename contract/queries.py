@@ -1,5 +1,9 @@
 """The registered queries: each takes (spark, folder of tables) and returns a DataFrame."""
 
+from functools import reduce
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +20,7 @@ from teamlines.plans.betting_runs import run_backtest, run_training
 from teamlines.plans.prepare import prepare_data
 from teamlines.session import materialized, scratch_path
 from teamlines.sources import sample_tables
-from teamlines.sources.schedules import load_games, load_schedules, save_features
+from teamlines.sources.schedules import build_and_save_features, load_games, load_schedules, save_features
 
 KEYS = ["game_id", "team"]
 TEST_SEASON = 2001
@@ -47,7 +51,7 @@ def labelled_games(spark, folder):
     return games.select(
         "game_id", F.col("season_home").alias("season"), F.col("prob_home").alias("prob"),
         F.col("beat_spread_home").alias("label"),
-    ).where(F.col("prob").isNotNull())
+    )
 
 
 def recent(df):
@@ -84,10 +88,42 @@ def feature_file(spark, folder):
     )
 
 
+def feature_job(spark, folder):
+    """Schedule files to a feature file in one call, and that file read back."""
+    source, target = scratch_path(spark, "schedule"), scratch_path(spark, "features")
+    games = sample_tables.schedule(spark, folder)
+    games.write.parquet(source)
+    build_and_save_features(spark, source, target, f.build_features, range(1995, 2002), schema=games.schema)
+    schema = f.build_features(load_schedules(spark, source, schema=games.schema)).schema
+    return load_games(spark, target, schema).select(*KEYS, "date", "season", "beat_spread", "diff_pf_avg_3", "pd_avg_8")
+
+
 def profile(spark, folder):
     return catalog.profile(tg(spark, folder))
 
 
+def column_profile(spark, folder):
+    """Position, name and type of each team-game column, and how often it is known."""
+    rows = tg(spark, folder)
+    counts = rows.agg(F.array(*[F.struct(F.lit(c).alias("feature"), F.count(c).alias("known")) for c in rows.columns]).alias("counts"))
+    return catalog.column_types(rows).join(counts.select(F.inline("counts")), "feature")
+
+
+def fixed_features(spark, folder):
+    """Those of the fixed feature names that the full frame has, in their order, with the rows where they are known."""
+    rows = f.create_all_features(tg(spark, folder))
+    names = [c for c in catalog.fixed_features(rows.columns, strict=False) if c in rows.columns]
+    counts = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.count(c).alias("known")) for i, c in enumerate(names)]
+    return rows.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
+def category_report(spark, folder):
+    """Features of the full frame by category, beside the number of its rows."""
+    rows = f.create_all_features(tg(spark, folder))
+    report = catalog.category_report(spark, catalog.available_features(rows.columns))
+    return report.crossJoin(F.broadcast(rows.agg(F.count("*").alias("n_rows"))))  # one row
+
+
 def null_audit(spark, folder):
     rows = tg(spark, folder)
     return catalog.null_audit(f.create_all_features(rows), rows.columns)
@@ -122,6 +158,16 @@ def expanding_split(spark, folder):
     return _parts(train, test).groupBy("part", "season").agg(F.count("*").alias("n_rows"))
 
 
+def expanding_seasons(spark, folder):
+    """Train and test sizes of every season after a warm-up of three."""
+    rows = splits.with_target(tg(spark, folder), "points_for")
+    parts = [
+        _parts(train, test).groupBy("part").agg(F.count("*").alias("n_rows")).withColumn("test_season", F.lit(season))
+        for season, train, test in splits.expanding_seasons(rows, warm_up=3)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def drop_pushes(spark, folder):
     return game_level.to_game_level_with_diffs(tg(spark, folder), keep_unplayed=True).select(
         "game_id", "actual_spread", "spread_line_signed", "ats_margin", "beat_spread_home"
@@ -276,6 +322,19 @@ def matchup(spark, folder):
     ])
 
 
+def team_features_split(spark, folder):
+    """The same, with every team of more than 20 rows cut into pieces."""
+    rows = tg(spark, folder)
+    built = f.create_advanced_team_features(rows, hot_rows=20)
+    return built.select(*KEYS, *[c for c in built.columns if c not in rows.columns])
+
+
+def matchup_date(spark, folder):
+    """The matchup stage with the opponent's rows of the same date."""
+    rows = f.create_advanced_team_features(tg(spark, folder))
+    return f.create_matchup_features(rows, "date").select(*KEYS, "opp_pf_avg_5", "opp_form_ema_9", "off_vs_def", "pace_differential", "form_diff", "volatility_diff")
+
+
 MARKET_COLUMNS = [
     "spread_line", "total_line", "implied_points", "opp_implied_points", "implied_vs_avg",
     "opp_implied_vs_avg", "implied_total", "recent_total_avg", "total_vs_recent",
@@ -424,8 +483,7 @@ def roi_two_level(spark, folder):
 
 
 def _season_report(spark, folder):
-    rows = stand_in(f.build_features(tg(spark, folder))).where(F.col("prob").isNotNull())
-    return b.season_report(rows, "prob", "beat_spread")
+    return b.season_report(stand_in(f.build_features(tg(spark, folder))), "prob", "beat_spread")
 
 
 def season_backtest(spark, folder):
@@ -440,6 +498,37 @@ def format_predictions(spark, folder):
     return scoring.format_predictions(stand_in(tg(spark, folder)))
 
 
+def _rule_model():
+    """A pipeline that predicts the implied points: saved, loaded and applied as a fitted one is."""
+    own = "CASE WHEN is_home = 1 THEN total_line / 2 + spread_line / 2 ELSE total_line / 2 - spread_line / 2 END"
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {own} AS prediction FROM __THIS__")])
+
+
+def upcoming_predictions(spark, folder):
+    """Games without a score, scored by a saved and reloaded pipeline."""
+    path = scratch_path(spark, "model")
+    _rule_model().write().overwrite().save(path)
+    rows = impute.fill_medians(tg(spark, folder), f.LINES)
+    return scoring.predict_upcoming_games(PipelineModel.load(path), rows)
+
+
+def upcoming_formatted(spark, folder):
+    """The same games laid out for readers, with intervals from the games already played."""
+    rows = impute.fill_medians(tg(spark, folder), f.LINES)
+    upcoming = scoring.predict_upcoming_games(_rule_model(), rows)
+    played = models.score(_rule_model(), splits.with_target(rows, "points_for"))
+    return scoring.format_predictions(upcoming, fitted_on=played)
+
+
+def ridge_line(spark, folder):
+    """Ridge regression of points on the total line: coefficient and intercept."""
+    rows = tg(spark, folder).where("points_for IS NOT NULL AND total_line IS NOT NULL")
+    rows = rows.select(F.col("points_for").cast("double").alias("label"), "total_line")
+    train = VectorAssembler(inputCols=["total_line"], outputCol="features").transform(rows)
+    fitted = models.ridge(train).fit(train)
+    return spark.createDataFrame([(float(fitted.coefficients[0]), float(fitted.intercept))], "coefficient double, intercept double")
+
+
 # fitted models: rows, schema and determinism are the contract, not the fitted values.
 # Small tree counts keep these quick; the library defaults are the full sizes.
 
@@ -517,13 +606,18 @@ CHECKED = {
     "load_team_games": load_team_games,
     "schedule_files": schedule_files,
     "feature_file": feature_file,
+    "feature_job": feature_job,
     "profile": profile,
+    "column_profile": column_profile,
+    "fixed_features": fixed_features,
+    "category_report": category_report,
     "null_audit": null_audit,
     "year_subset": year_subset,
     "season_list": season_list,
     "season_split": season_split,
     "season_list_split": season_list_split,
     "expanding_split": expanding_split,
+    "expanding_seasons": expanding_seasons,
     "drop_pushes": drop_pushes,
     "median_values": median_values,
     "median_impute_all": median_impute_all,
@@ -554,8 +648,10 @@ CHECKED = {
     "prev_vs_opp": prev_vs_opp,
     "prev_vs_opp_input_order": prev_vs_opp_input_order,
     "team_features": team_features,
+    "team_features_split": team_features_split,
     "situational": situational,
     "matchup": matchup,
+    "matchup_date": matchup_date,
     "market": market,
     "interactions": interactions,
     "all_features": all_features,
@@ -586,6 +682,9 @@ CHECKED = {
     "season_backtest": season_backtest,
     "backtest_summary": backtest_summary,
     "format_predictions": format_predictions,
+    "upcoming_predictions": upcoming_predictions,
+    "upcoming_formatted": upcoming_formatted,
+    "ridge_line": ridge_line,
 }
 
 FITTED = {

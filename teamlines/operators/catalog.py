@@ -96,19 +96,19 @@ def feature_quality(games: DataFrame) -> DataFrame:
     return stats.select(F.inline("stats"))
 
 
-def select_features(games: DataFrame, min_nonnull=MIN_NONNULL) -> list:
-    """Candidates that are mostly present and vary, the first 25 in column order.
+def select_features(games: DataFrame, min_nonnull=MIN_NONNULL, most=MAX_PICKED, fallback=MAX_FALLBACK) -> list:
+    """Candidates that are mostly present and vary, the first ``most`` in column order (None: all).
 
-    Without any, the first 12 difference columns.
+    Without any, the first ``fallback`` difference columns (None: all).
     """
     good = (
         feature_quality(games)
         .where((F.col("nonnull_share") >= min_nonnull) & (F.col("std") > MIN_STD))
         .orderBy("position")
-        .limit(MAX_PICKED)
     )
-    names = [row.feature for row in good.select("feature").collect()]
-    return names or [c for c in games.columns if c.startswith("diff_")][:MAX_FALLBACK]
+    # as many rows as the frame has candidate columns
+    names = [row.feature for row in good.select("feature").collect()][:most]
+    return names or [c for c in games.columns if c.startswith("diff_")][:fallback]
 
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
@@ -132,8 +132,10 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def column_types(df: DataFrame) -> dict:
-    return dict(df.dtypes)
+def column_types(df: DataFrame) -> DataFrame:
+    """Position, name and type of each column."""
+    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(rows, "position int, feature string, dtype string")
 
 
 def null_audit(df: DataFrame, before=()) -> DataFrame:

@@ -7,17 +7,26 @@ contiguous chunks, and each chunk gets copies of the few rows that precede it. A
 frame looks back over a fixed number of rows, the values are the same either way.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from teamlines.schema import ORDER
 from teamlines.session import checkpointed
 
-CHUNK, HALO = "_chunk", "_halo"
+CHUNK, HALO, HOT = "_chunk", "_halo", "_hot"
 
 HOT_ROWS = 500_000
-SMALL_INPUT_BYTES = 32 * 1024 * 1024
-BROADCAST_KEYS = 100_000
+
+
+@dataclass(frozen=True)
+class HotTeams:
+    """Teams with more than ``limit`` rows: their names as column ``_hot`` (None if there are none) and their rows."""
+
+    teams: DataFrame | None
+    rows: int
+    limit: int
 
 
 def hot_rows_limit(df: DataFrame, given=None) -> int:
@@ -27,49 +36,33 @@ def hot_rows_limit(df: DataFrame, given=None) -> int:
     return int(df.sparkSession.conf.get("spark.teamlines.hotRows", str(HOT_ROWS)))
 
 
-def input_bytes(df: DataFrame):
-    """Bytes of the files below ``df`` from catalog statistics, without a job; None if unknown."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def hot_keys(df: DataFrame, keys, limit: int):
-    """``(keys with more than limit rows, their number, their rows)`` or None if there are none.
+def find_hot(df: DataFrame, hot_rows=None, key="team") -> HotTeams:
+    """The hot teams of ``df``, by one pre-aggregated count over the key alone.
 
-    Inputs too small to hold a hot key at the default limit are not counted at all; else
-    the cost is one pre-aggregated count over the key columns alone.
+    A pipeline calls this once, on its schedule rows, and hands the result to its stages in
+    place of ``hot_rows``. Which keys are split never changes a value, only the balance, so
+    teams found on the schedule also serve windows by opponent or by team and season.
     """
-    if limit >= HOT_ROWS:
-        size = input_bytes(df)
-        if size is not None and size < SMALL_INPUT_BYTES:
-            return None
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    if isinstance(hot_rows, HotTeams):
+        return hot_rows
+    limit = hot_rows_limit(df, hot_rows)
+    counted = df.groupBy(F.col(key).alias(HOT)).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
     n_keys, n_rows = counted.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    if n_keys == 0:
-        return None
-    hot = checkpointed(counted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
-    # at most rows / limit keys; broadcast only when that is known to be short
-    return (F.broadcast(hot) if n_keys <= BROADCAST_KEYS else hot), n_keys, n_rows
+    return HotTeams(checkpointed(counted.select(HOT)) if n_keys else None, n_rows, limit)
 
 
-def _matches(keys):
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-    return condition
+def _is_hot(key):
+    return F.col(key).eqNullSafe(F.col(HOT))
 
 
-def _cut(df, keys, order, hot, n_rows, limit):
+def _cut(df, keys, order, hot):
     """Hot rows in contiguous ranges of their order, the range number in ``_chunk``.
 
     Written out once: sampled range bounds may differ between two runs of a plan, and the
     chunk numbers must not.
     """
-    n_chunks = max(2, -(-n_rows // limit))
-    ranged = df.join(hot, _matches(keys), "left_semi").repartitionByRange(
+    n_chunks = max(2, -(-hot.rows // hot.limit))
+    ranged = df.join(hot.teams, _is_hot(keys[0]), "left_semi").repartitionByRange(
         n_chunks, *[F.col(c) for c in (*keys, *order)]
     )
     return checkpointed(ranged.withColumn(CHUNK, F.spark_partition_id()))
@@ -114,16 +107,15 @@ def _halo_rows(cut, keys, order, span):
 def over_history(df: DataFrame, build, key="team", order=ORDER, span=16, hot_rows=None):
     """``build(df, window)`` with one window per ``key`` in ``order``.
 
-    ``build`` adds columns whose values depend on at most ``span`` rows back.
+    ``build`` adds columns whose values depend on at most ``span`` rows back. ``hot_rows`` is
+    a limit or what :func:`find_hot` found.
     """
-    limit = hot_rows_limit(df, hot_rows)
-    found = hot_keys(df, [key], limit)
-    if found is None:
+    hot = find_hot(df, hot_rows, key)
+    if hot.teams is None:
         return build(df, Window.partitionBy(key).orderBy(*order))
-    hot, _, n_rows = found
-    cut = _cut(df, [key], order, hot, n_rows, limit)
+    cut = _cut(df, [key], order, hot)
     halo = _halo_rows(cut, [key], order, span)
-    rest = df.join(hot, _matches([key]), "left_anti").withColumn(CHUNK, F.lit(-1))
+    rest = df.join(hot.teams, _is_hot(key), "left_anti").withColumn(CHUNK, F.lit(-1))
     rows = (
         rest.withColumn(HALO, F.lit(False))
         .unionByName(cut.withColumn(HALO, F.lit(False)))
@@ -134,14 +126,12 @@ def over_history(df: DataFrame, build, key="team", order=ORDER, span=16, hot_row
 
 
 def running_position(df: DataFrame, name: str, keys, order=ORDER, hot_rows=None):
-    """0-based position of each row within its ``keys`` group, hot groups counted by chunk."""
-    limit = hot_rows_limit(df, hot_rows)
-    found = hot_keys(df, keys, limit)
-    if found is None:
+    """0-based position of each row within its ``keys`` group; hot teams, the first key, are counted by chunk."""
+    hot = find_hot(df, hot_rows, keys[0])
+    if hot.teams is None:
         at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
         return df.withColumn(name, at)
-    hot, _, n_rows = found
-    cut = _cut(df, keys, order, hot, n_rows, limit)
+    cut = _cut(df, keys, order, hot)
     starts = _chunk_starts(cut, keys)
     placed = (
         cut.alias("c")
@@ -149,7 +139,7 @@ def running_position(df: DataFrame, name: str, keys, order=ORDER, hot_rows=None)
         .select("c.*", F.col("s._start"))
     )
     rest = (
-        df.join(hot, _matches(keys), "left_anti")
+        df.join(hot.teams, _is_hot(keys[0]), "left_anti")
         .withColumn(CHUNK, F.lit(-1))
         .withColumn("_start", F.lit(0).cast("long"))
     )

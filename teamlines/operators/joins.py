@@ -56,7 +56,8 @@ def pair_sides(df: DataFrame, how="inner", columns=None) -> DataFrame:
         wide = wide.where(F.col("_other.is_home") == 0)
     elif how != "left":
         raise ValueError(f"unknown pairing {how!r}")
-    return wide.select(
+    away = F.when(F.col("_other.is_home") == 0, F.col("_other"))  # another home row is no partner
+    return wide.withColumn("_other", away).select(
         "game_id",
         *[F.col(f"_own.{c}").alias(f"{c}_home") for c in columns],
         *[F.col(f"_other.{c}").alias(f"{c}_away") for c in columns],

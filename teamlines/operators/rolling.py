@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from teamlines.functions import windows as w
 from teamlines.functions.outcome import home_spread_cover, outcome_columns, point_diff, won
-from teamlines.operators.history import over_history, running_position
+from teamlines.operators.history import find_hot, over_history, running_position
 from teamlines.schema import ORDER
 
 SCORES = {"pf": "points_for", "pa": "points_against"}
@@ -115,6 +115,7 @@ def opponent_win_rate(df: DataFrame, as_of=False) -> DataFrame:
 
 def schedule_strength(df: DataFrame, as_of=False, hot_rows=None) -> DataFrame:
     """``opp_win_pct`` and its rolling means ``sos_3`` and ``sos_8``."""
+    hot_rows = find_hot(df, hot_rows)
     rows = opponent_win_rate(df, as_of)
 
     def build(part, window):

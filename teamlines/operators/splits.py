@@ -9,9 +9,11 @@ scalar and each row compares its own order key with it.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from teamlines.session import materialized
+
 # The multiplicative hash behind the seeded shuffle.
 HASH_FACTOR, HASH_MODULUS = 2654435761, 1000003
-HASH_CELL = 1000
+HASH_CELL = 1000  # outer cells hold a thousand hash values; each value is an inner cell
 
 
 def holdout_split(df: DataFrame, test_season: int):
@@ -19,6 +21,12 @@ def holdout_split(df: DataFrame, test_season: int):
     return df.where(F.col("season") < test_season), df.where(F.col("season") == test_season)
 
 
+def expanding_seasons(df: DataFrame, warm_up=5):
+    """``(season, train, test)`` for every season after the first ``warm_up``: all earlier seasons train."""
+    for season in [row.season for row in seasons(df).collect()][warm_up:]:
+        yield season, *holdout_split(df, season)
+
+
 def season_list_split(df: DataFrame, test_seasons):
     """Test on the listed seasons, train on all others, later ones included."""
     listed = F.col("season").isin(*test_seasons)
@@ -53,56 +61,64 @@ def chronological_key(df: DataFrame) -> Column:
     )
 
 
+def _same(left, right):
+    """Null-safe equality of the columns two frames share by position."""
+    condition = F.lit(True)
+    for a, b in zip(left, right):
+        condition = condition & a.eqNullSafe(b)
+    return condition
+
+
+def _hits(counted: DataFrame, group, cells, wanted: DataFrame) -> DataFrame:
+    """Of ``wanted`` (``group, cut, at``, and the cells found so far) the next cell and the place inside it.
+
+    ``counted`` has rows per ``group`` and ``cells``; the last cell is the one to find. Running
+    counts are kept per group and outer cell, so no window holds more than one level's cells.
+    """
+    *outer, inner = cells
+    over = Window.partitionBy(*group, *outer).orderBy(F.col(inner).asc_nulls_first())
+    placed = counted.withColumn("_before", F.sum("_n").over(over) - F.col("_n"))
+    keys = [*group, *outer]
+    named = wanted.select(*[F.col(k).alias(f"_w{k}") for k in keys], "cut", "at")
+    met = placed.join(named, _same([F.col(k) for k in keys], [F.col(f"_w{k}") for k in keys]))
+    inside = (F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_n"))
+    return met.where(inside).select(*group, *cells, "cut", (F.col("at") - F.col("_before")).alias("at"))
+
+
 def _cut_keys(keyed: DataFrame, group, positions: dict):
     """The order keys at some positions, as one row, or one row per ``group``.
 
-    ``keyed`` has the group columns and ``_key``, whose fields but the last two are the
-    cell. ``positions`` maps a name to a function of the row count giving a 0-based
-    position.
+    ``keyed`` has the group columns and ``_key``, whose first two fields are an outer and an
+    inner cell of the order. ``positions`` maps a name to a function of the row count giving
+    a 0-based position. The narrow key rows are written once; rows per cell are counted once
+    from them, and only the rows of the cells that hold a cut are ranked.
     """
-    cell = [f for f in keyed.schema["_key"].dataType.names if f in ("date", "cell")]
-    cells = keyed.groupBy(*group, *[F.col(f"_key.{f}").alias(f"_{f}") for f in cell]).agg(
-        F.count("*").alias("_n")
+    first, second = keyed.schema["_key"].dataType.names[:2]
+    cells = ["_outer", "_inner"]
+    rows = materialized(
+        keyed.select(*group, "_key", F.col(f"_key.{first}").alias("_outer"), F.col(f"_key.{second}").alias("_inner"))
     )
-    # running counts: over the first cell field, then inside it, so no window is wide
-    first, rest = f"_{cell[0]}", [f"_{f}" for f in cell[1:]]
-    top = cells.groupBy(*group, first).agg(F.sum("_n").alias("_top_n"))
-    over_top = Window.partitionBy(*group).orderBy(first)
-    whole = Window.partitionBy(*group)
-    top = top.select(
-        *group,
-        first,
-        (F.sum("_top_n").over(over_top) - F.col("_top_n")).alias("_before"),
-        F.sum("_top_n").over(whole).alias("_total"),
-    )
-    if rest:
-        inside = Window.partitionBy(*group, first).orderBy(*rest)
-        cells = cells.join(top, [*group, first]).withColumn(
-            "_before", F.col("_before") + F.sum("_n").over(inside) - F.col("_n")
-        )
-    else:
-        cells = cells.join(top, [*group, first])
+    counts = materialized(rows.groupBy(*group, *cells).agg(F.count("*").alias("_n")))
+    outer = counts.groupBy(*group, "_outer").agg(F.sum("_n").alias("_n"))
     wanted = F.array(
         *[F.struct(F.lit(name).alias("cut"), at(F.col("_total")).alias("at")) for name, at in positions.items()]
     )
-    hits = cells.select("*", F.inline(wanted)).where(
-        (F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_n"))
-    )
-    hits = hits.select(*group, *[f"_{f}" for f in cell], "cut", (F.col("at") - F.col("_before")).alias("_rank"))
-    # one row per cut and group: as few as there are names and groups
-    rows = keyed.select("*", *[F.col(f"_key.{f}").alias(f"_{f}") for f in cell])
-    ranked = rows.join(F.broadcast(hits), [*group, *[f"_{f}" for f in cell]])
+    totals = outer.groupBy(*group).agg(F.sum("_n").alias("_total"))
+    found = _hits(outer, group, ["_outer"], totals.select(*group, F.inline(wanted)))
+    found = _hits(counts, group, cells, found)
+    keys = [*group, *cells]
+    named = found.select(*[F.col(k).alias(f"_w{k}") for k in keys], "cut", "at")
+    ranked = rows.join(named, _same([F.col(k) for k in keys], [F.col(f"_w{k}") for k in keys]))
     inside = Window.partitionBy(*group, "cut").orderBy("_key")
-    found = ranked.withColumn("_at", F.row_number().over(inside) - 1).where(F.col("_at") == F.col("_rank"))
-    return found.groupBy(*group).agg(
+    hit = ranked.withColumn("_at", F.row_number().over(inside) - 1).where(F.col("_at") == F.col("at"))
+    return hit.groupBy(*group).agg(
         *[F.max(F.when(F.col("cut") == name, F.col("_key"))).alias(name) for name in positions]
     )
 
 
 def _blocks(df: DataFrame, key: Column, name: str, positions: dict) -> DataFrame:
     """``name``: how many of the cut positions lie at or before the row."""
-    keyed = df.select(key.alias("_key"))
-    cuts = _cut_keys(keyed, [], positions).select(F.struct(*positions)).scalar()
+    cuts = materialized(_cut_keys(df.select(key.alias("_key")), [], positions)).select(F.struct(*positions)).scalar()
     block = F.lit(0)
     for cut in positions:
         block = block + F.when(key >= cuts.getField(cut), 1).otherwise(0)
@@ -154,9 +170,9 @@ def stratified_split(df: DataFrame, target: str, train_share=0.8, seed=42, name=
         hashed.alias("hash"),
         F.col("game_id").alias("game_id"),
     )
-    keyed = df.select(F.col(target), key.alias("_key"))
-    cuts = _cut_keys(keyed, [target], {"first_test": lambda n: F.floor(n * train_share)})
-    # one row per class
-    return df.join(F.broadcast(cuts), target, "left").select(
-        *df.columns, F.coalesce(key < F.col("first_test"), F.lit(True)).alias(name)
+    keyed = df.select(F.col(target).alias("_class"), key.alias("_key"))
+    cuts = materialized(_cut_keys(keyed, ["_class"], {"first_test": lambda n: F.floor(n * train_share)}))
+    # one row per class; a class is a key like any other, and a hot one is split by the skew handling
+    return df.join(cuts, df[target].eqNullSafe(cuts["_class"]), "left").select(
+        *[df[c] for c in df.columns], F.coalesce(key < F.col("first_test"), F.lit(True)).alias(name)
     )

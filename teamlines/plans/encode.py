@@ -6,19 +6,15 @@ from pyspark.sql import functions as F
 
 from teamlines.operators.catalog import CATEGORICAL
 
-MAX_LEVELS = 1000
-
-
 def category_levels(train: DataFrame, columns) -> dict:
     """The training values of each categorical column in alphabetical order.
 
-    They become columns of the matrix, so a column with more than 1000 values is refused.
+    They are the names of columns of the result, so the driver has to know them all: one
+    value per distinct category, never more than the model has inputs.
     """
     levels = {}
     for c in columns:
-        found = train.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} values; not a category")
+        found = train.select(c).where(F.col(c).isNotNull()).distinct().collect()
         levels[c] = sorted(row[0] for row in found)
     return levels
 

@@ -8,7 +8,7 @@ from teamlines.functions import outcome as o
 from teamlines.functions import situation as s
 from teamlines.functions import windows as w
 from teamlines.operators import rolling as r
-from teamlines.operators.history import over_history
+from teamlines.operators.history import find_hot, over_history
 from teamlines.operators.impute import fill_medians, fill_unknown
 from teamlines.operators.joins import opponent_columns
 from teamlines.schema import ORDER
@@ -25,6 +25,7 @@ def create_advanced_team_features(
 
     All history columns share one window per team, hence one shuffle and one sort.
     """
+    hot_rows = find_hot(df, hot_rows)
     rows = r.opponent_win_rate(r.with_outcomes(df, corrected_efficiency), opponent_as_of)
     has_line = "spread_line" in df.columns
     measures = {**r.score_measures(), "diff": o.point_diff(), **r.flag_measures(rows.columns)}
@@ -88,9 +89,9 @@ def create_matchup_features(df: DataFrame, key="game") -> DataFrame:
     )
 
 
-def create_market_features(df: DataFrame) -> DataFrame:
+def create_market_features(df: DataFrame, exact=True) -> DataFrame:
     """Points and probabilities implied by the lines, after filling lines with medians."""
-    rows = fill_medians(df, LINES)
+    rows = fill_medians(df, LINES, exact=exact)
     c, made = F.col, {}
     if set(LINES) <= set(df.columns):
         own, other = m.implied_points()
@@ -134,12 +135,15 @@ def create_interaction_features(df: DataFrame) -> DataFrame:
     return df.withColumns(made)
 
 
-def create_all_features(df: DataFrame, key="game", opponent_as_of=False, hot_rows=None) -> DataFrame:
-    """All five stages: 23 team-game columns and 161 features."""
+def create_all_features(
+    df: DataFrame, key="game", opponent_as_of=False, hot_rows=None, exact_medians=True
+) -> DataFrame:
+    """All five stages: 23 team-game columns and 161 features. Hot teams are counted once, on ``df``."""
+    hot_rows = find_hot(df, hot_rows)
     rows = create_advanced_team_features(df, opponent_as_of, hot_rows=hot_rows)
     rows = create_situational_features(rows, hot_rows)
     rows = create_matchup_features(rows, key)
-    return create_interaction_features(create_market_features(rows))
+    return create_interaction_features(create_market_features(rows, exact_medians))
 
 
 def add_features(df: DataFrame, key="game", hot_rows=None) -> DataFrame:
@@ -170,6 +174,7 @@ def build_features(df: DataFrame, order=ORDER, hot_rows=None) -> DataFrame:
     ``order`` is the row order that "previous" refers to.
     """
     names = [f"{p}_avg_{n}" for n in w.SHORT_WINDOWS for p in ("pf", "pa", "pd")]
+    hot_rows = find_hot(df, hot_rows)
     rows = df.withColumns({"spread_line_signed": o.spread_line_signed(), "point_diff": o.point_diff()})
     rows = r.rolling(
         rows, r.score_measures(), r.strict_columns(), lags=w.SHORT_WINDOWS, order=order, hot_rows=hot_rows

@@ -41,6 +41,7 @@ BLEND = {"boosted": 0.6, "forest": 0.3, "ridge": 0.1}
 RIDGE_ALPHA = 1.0
 N_FEATURES, N_TRIALS, N_FOLDS, STACK_FOLDS = 40, 50, 4, 3
 VALIDATION_TOL = 0.01
+VALIDATION = "is_validation"
 KEYS = ["game_id", "is_home"]
 MODEL_NAMES = ["base", "optimized", "forest", "stacking"]
 
@@ -64,11 +65,16 @@ def random_forest(params=None, seed=42):
     return RandomForestRegressor(**{**FOREST, **(params or {}), "seed": seed})
 
 
-def ridge(n_rows: int, features="features", label="label"):
-    """Ridge regression with a penalty of 1 on the summed squared error, unscaled inputs."""
+def ridge(train: DataFrame, features="features", label="label"):
+    """Ridge regression with a penalty of 1 on the summed squared error, unscaled inputs.
+
+    The learner divides the penalty by the number of rows and by the label's deviation, so
+    both are multiplied in.
+    """
+    n, deviation = train.agg(F.count(label), F.stddev_pop(label)).first()
     return LinearRegression(
-        featuresCol=features, labelCol=label, regParam=RIDGE_ALPHA / max(n_rows, 1),
-        elasticNetParam=0.0, standardization=False,
+        featuresCol=features, labelCol=label, regParam=RIDGE_ALPHA / max(n, 1) * (deviation or 1.0),
+        elasticNetParam=0.0, standardization=False, solver="normal",
     )
 
 
@@ -86,6 +92,13 @@ def matrix(df: DataFrame, stages, target: str, extra=()) -> DataFrame:
     return picked.repartition(n, *KEYS).sortWithinPartitions(*KEYS)
 
 
+def with_validation(train: DataFrame, valid: DataFrame) -> DataFrame:
+    """The rows to fit on and those that tell when to stop, marked, with the columns they share."""
+    shared = [c for c in train.columns if c in valid.columns]
+    marked = [rows.select(*shared).withColumn(VALIDATION, F.lit(flag)) for rows, flag in ((train, False), (valid, True))]
+    return marked[0].unionByName(marked[1])
+
+
 def mean_error(scored: DataFrame) -> float:
     return team_errors(scored, "prediction", "label").first().mae
 
@@ -119,11 +132,16 @@ def sample_params(trials: int, seed=42, space=None) -> list:
 
 
 def random_search(train, valid, trials=N_TRIALS, seed=42, space=None, parallelism=4, objective="squared"):
-    """``(best parameters, trial frame)`` by validation error; fits run side by side."""
+    """``(best parameters, trial frame)`` by validation error; fits run side by side.
+
+    Each fit also stops early on the validation rows.
+    """
     draws = sample_params(trials, seed, space)
+    both = with_validation(train, valid)
 
     def fit(params):
-        return mean_error(boosted_trees(params, objective, seed).fit(train).transform(valid))
+        learner = boosted_trees(params, objective, seed, None if objective == "poisson" else VALIDATION)
+        return mean_error(learner.fit(both if objective == "squared" else train).transform(valid))
 
     # only threads made for this session carry its job properties
     with ThreadPoolExecutor(parallelism) as pool:
@@ -151,7 +169,7 @@ def fit_stacking(train: DataFrame, learners: dict, blocks=STACK_FOLDS, block="bl
         out_of_fold = held if out_of_fold is None else out_of_fold.unionByName(held)
     packed = VectorAssembler(inputCols=outputs, outputCol="base_predictions")
     rows = packed.transform(out_of_fold)
-    final = ridge(train.count(), "base_predictions").fit(rows)
+    final = ridge(rows, "base_predictions").fit(rows)
     fitted = [
         learner.copy({learner.predictionCol: output}).fit(train)
         for (_, learner), output in zip(learners.items(), outputs)
@@ -168,7 +186,7 @@ def fit_vote(train: DataFrame, boosted=None, forest=None, weights=None, seed=42)
     learners = {
         "boosted": boosted_trees({"maxIter": 800, **(boosted or {})}, seed=seed),
         "forest": random_forest(forest, seed),
-        "ridge": ridge(train.count()),
+        "ridge": ridge(train),
     }
     fitted = [x.copy({x.predictionCol: f"vote_{n}"}).fit(train) for n, x in learners.items()]
     blended = SQLTransformer(statement=f"SELECT *, {blend_sql(weights)} AS prediction FROM __THIS__")
@@ -205,34 +223,50 @@ def walk_forward(
 ):
     """``(fold score frame, best model name, tuned parameters)`` over expanding time folds.
 
-    Fold 1 also tunes the parameters, so its scores for the tuned models are optimistic.
+    Boosted trees stop early on the rows of the fold they are scored on, and fold 1 also tunes
+    the parameters, so the scores of both are optimistic.
     """
     selector = selector or {}
     folded = time_folds(train.where(F.col(target).isNotNull()), n_folds).persist()
-    scores, params = [], None
+    held, scores, params = [folded], [], None
+
+    def hold(frame):
+        held.append(frame.persist())
+        return frame
+
+    def release(down_to=1):
+        while len(held) > down_to:
+            held.pop().unpersist()
+
     try:
         for fold in range(1, n_folds + 1):
             fit_rows, check_rows = fold_rows(folded, fold)
             stages, names = encoding_stages(fit_rows, features)
             blocked = contiguous_folds(fit_rows, STACK_FOLDS) if "stacking" in models else fit_rows.withColumn("block", F.lit(0))
-            full = matrix(blocked, stages, target, ["block"]).persist()
+            full = hold(matrix(blocked, stages, target, ["block"]))
             picked = top_features(feature_importance(full, names, seed, **selector), n_features)
             slicer = VectorSlicer(inputCol="features", outputCol="picked", indices=picked)
 
             def sliced(rows):
                 return slicer.transform(rows).drop("features").withColumnRenamed("picked", "features")
 
-            fit_on = sliced(full).persist()
-            check = sliced(matrix(check_rows, stages, target)).persist()
+            fit_on = hold(sliced(full))
+            check = hold(sliced(matrix(check_rows, stages, target)))
+            fit_on.count()
+            held.remove(full)
+            full.unpersist()
             if fold == 1 and trials and {"optimized", "stacking"} & set(models):
                 params, _ = random_search(fit_on, check, trials, seed, space)
+            stopping = with_validation(fit_on, check)
             for order, kind in enumerate(models):
-                fitted = fit_model(kind, fit_on, params, boosted, forest, seed)
+                early = kind in ("base", "optimized")
+                fitted = fit_model(
+                    kind, stopping if early else fit_on, params, boosted, forest, seed, VALIDATION if early else None
+                )
                 scores.append((fold, order, kind, mean_error(fitted.transform(check))))
-            for frame in (full, fit_on, check):
-                frame.unpersist()
+            release()
     finally:
-        folded.unpersist()
+        release(0)
     frame = train.sparkSession.createDataFrame(scores, "fold int, model_order int, model string, mae double")
     return frame, best_model(cv_summary(frame)).first().model, params
 
@@ -250,8 +284,8 @@ def train_final(
     extra = []
     stopping = early_stop and kind in ("base", "optimized")
     if stopping:
-        rows = time_folds(rows, N_FOLDS).withColumn("is_validation", F.col("fold") == N_FOLDS)
-        extra.append("is_validation")
+        rows = time_folds(rows, N_FOLDS).withColumn(VALIDATION, F.col("fold") == N_FOLDS)
+        extra.append(VALIDATION)
     if kind == "stacking":
         rows = contiguous_folds(rows, STACK_FOLDS)
         extra.append("block")
@@ -269,7 +303,7 @@ def train_final(
                 fit_on = stage.transform(fit_on)
             parts += choose
         fitted = fit_model(
-            kind, fit_on, params, boosted, forest, seed, "is_validation" if stopping else None
+            kind, fit_on, params, boosted, forest, seed, VALIDATION if stopping else None
         )
     finally:
         full.unpersist()

@@ -1,5 +1,7 @@
 """Session helpers: a local builder for tests and the shared checkpoint folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,14 +29,18 @@ def local_session(cores="*", shuffle_partitions=8, name="teamlines", **conf):
 def shared_dir(spark):
     """The folder all executors reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where nothing is named and the session is local.
+    A temporary folder is used only where nothing is named and the session is a single local
+    process; it goes when that process ends. In a named folder the files, all under
+    ``teamlines-*``, stay as long as results that read them may be used.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     made = tempfile.mkdtemp(prefix="teamlines-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return made
 

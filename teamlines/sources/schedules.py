@@ -29,7 +29,7 @@ def read_schedule(spark: SparkSession, path: str, years=None, fmt="parquet", sch
     if fmt == "csv":
         reader = reader.option("header", True)
     games = reader.format(fmt).load(path)
-    return nan_to_null(games.where(F.col("season").isin(*(years or DEFAULT_YEARS))))
+    return nan_to_null(games.where(F.col("season").isin(list(DEFAULT_YEARS if years is None else years))))
 
 
 def countable_games(games: DataFrame) -> DataFrame:
@@ -83,6 +83,6 @@ def load_games(spark: SparkSession, path: str, schema, fmt="csv") -> DataFrame:
     return nan_to_null(reader.format(fmt).load(path))
 
 
-def build_and_save_features(spark, source, target, builder, years=None, fmt="csv"):
+def build_and_save_features(spark, source, target, builder, years=None, fmt="csv", schema=SCHEDULE):
     """Load, add features with ``builder`` and write; the feature-file job in one call."""
-    save_features(builder(load_schedules(spark, source, years)), target, fmt)
+    save_features(builder(load_schedules(spark, source, years, schema=schema)), target, fmt)

@@ -1,5 +1,7 @@
 """Hand-made cases for single operators and stages."""
 
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +227,24 @@ def test_formatted_predictions_are_sorted(spark, team_games):
     sure = [r.confidence for r in rows if r.confidence is not None]
     assert sure == sorted(sure, reverse=True)
     assert all(r.spread_low < r.spread_high for r in rows if r.spread_low is not None)
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.0], [1.0, 2.0], [5.0, 1.0, None, 1.0], [1.0, 1.0, 2.0, 9.0], list(map(float, range(101)))])
+def test_medians_of_few_and_many_values(spark, values):
+    rows = spark.createDataFrame([(v, 7.5) for v in values] or [(None, 7.5)], "a double, b double")
+    got = impute.medians(rows, ["a", "b"]).first()
+    known = [v for v in values if v is not None]
+    assert got.a == (statistics.median(known) if known else None) and got.b == 7.5
+
+
+def test_a_home_row_is_no_partner(spark):
+    rows = spark.createDataFrame([("g", 1, 3), ("g", 1, 4), ("h", 1, 5), ("h", 0, 6)], "game_id string, is_home int, points int")
+    got = {(r.points_home, r.points_away) for r in pair_sides(rows, "left").collect()}
+    assert got == {(3, None), (4, None), (5, 6)}
+
+
+def test_no_years_means_no_season(spark, tmp_path):
+    path = str(tmp_path / "games")
+    schedule(spark, [dict(season=2020), dict(season=2008)]).write.parquet(path)
+    assert load_schedules(spark, path, []).count() == 0
+    assert load_schedules(spark, path).count() == 2

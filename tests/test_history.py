@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 from helpers import one_team, rows_of, schedule
 from teamlines.operators import history, rolling
 from teamlines.operators.joins import pair_sides
-from teamlines.plans.features import build_features, create_advanced_team_features, create_situational_features
+from teamlines.plans.features import (
+    build_features,
+    create_advanced_team_features,
+    create_all_features,
+    create_situational_features,
+)
 from teamlines.sources.schedules import to_team_games
 
 
@@ -52,10 +57,9 @@ def test_chunks_shorter_than_the_look_back(skewed):
 
 
 def test_split_breaks_up_the_hot_team(skewed):
-    found = history.hot_keys(skewed, ["team"], 10)
-    hot, n_keys, n_rows = found
-    assert n_rows >= 120
-    cut = history._cut(skewed, ["team"], ("date", "game_id"), hot, n_rows, 10)
+    hot = history.find_hot(skewed, 10)
+    assert hot.rows >= 120
+    cut = history._cut(skewed, ["team"], ("date", "game_id"), hot)
     largest = cut.groupBy("team", history.CHUNK).count().agg(F.max("count")).first()[0]
     assert largest < 60
 
@@ -67,9 +71,21 @@ def test_missing_team_is_kept(skewed):
     assert rows_of(cut) == rows_of(plain)
 
 
-def test_small_inputs_are_not_counted(spark, team_games):
-    assert history.input_bytes(team_games) < history.SMALL_INPUT_BYTES
-    assert history.hot_keys(team_games, ["team"], history.HOT_ROWS) is None
+def test_hot_teams_are_counted_once(skewed, monkeypatch):
+    """The stages take over what the pipeline found."""
+    counted = []
+    real = history.hot_rows_limit
+    monkeypatch.setattr(history, "hot_rows_limit", lambda df, given=None: counted.append(1) or real(df, given))
+    cut = create_all_features(skewed, hot_rows=10)
+    assert counted == [1]
+    assert history.find_hot(skewed).teams is None
+    assert rows_of(cut) == rows_of(create_all_features(skewed))
+
+
+def test_opponents_are_split_by_the_teams_found(skewed):
+    hot = history.find_hot(skewed, 10)
+    assert rows_of(build_features(skewed, hot_rows=hot)) == rows_of(build_features(skewed))
+    assert rows_of(rolling.games_played(skewed, hot_rows=hot)) == rows_of(rolling.games_played(skewed))
 
 
 def test_setting_overrides_the_default(spark, skewed):

@@ -1,16 +1,19 @@
 """Fitted models: shape, finite predictions, repeatability, saving and loading."""
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from contract.queries import QUICK, QUICK_FOREST, QUICK_SELECTOR, QUICK_SPACE
+from teamlines.operators.impute import fill_medians
 from teamlines.operators.splits import contiguous_folds
 from teamlines.plans import encode, models
 from teamlines.plans.betting_runs import BACKTEST_FEATURES, run_backtest, run_training
-from teamlines.plans.features import build_features, create_all_features
+from teamlines.plans.features import LINES, build_features, create_all_features
 from teamlines.plans.prepare import prepare_data
-from teamlines.plans.scoring import predict_upcoming_games
+from teamlines.plans.scoring import format_predictions, predict_upcoming_games
 from teamlines.session import materialized
 
 
@@ -110,9 +113,53 @@ def test_unknown_category_gives_zeros(spark, prepared):
     assert got.roof_closed == got.roof_dome == got.roof_outdoors == 0
 
 
-def test_too_many_categories_are_refused(prepared):
-    with pytest.raises(ValueError, match="not a category"):
-        encode.category_levels(prepared[0].withColumn("roof", F.col("game_id").cast("string")), ["roof"])
+def test_every_category_is_kept(prepared):
+    ids = prepared[0].withColumn("roof", F.col("game_id").cast("string"))
+    levels = encode.category_levels(ids, ["roof"])["roof"]
+    assert levels == sorted(levels) and len(levels) == ids.select("roof").distinct().count() > 1000
+
+
+def test_ridge_equals_the_closed_form(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(50, 2)) * [1.0, 3.0]
+    y = x @ [40.0, -20.0] + rng.normal(size=50) * 9 + 7
+    rows = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, label double")
+    train = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    fitted = models.ridge(train).fit(train)
+    centred = x - x.mean(axis=0)
+    want = np.linalg.solve(centred.T @ centred + np.eye(2), centred.T @ (y - y.mean()))
+    assert fitted.coefficients.toArray() == pytest.approx(want, abs=1e-6)
+    assert fitted.intercept == pytest.approx(y.mean() - x.mean(axis=0) @ want, abs=1e-6)
+
+
+def test_trees_stop_on_the_validation_rows(small):
+    rows, _ = small
+    both = models.with_validation(rows.where("block < 2"), rows.where("block = 2"))
+    assert both.where(models.VALIDATION).count() == rows.where("block = 2").count()
+    learner = models.boosted_trees(dict(maxIter=30, maxDepth=5, stepSize=0.9), validation=models.VALIDATION)
+    assert learner.fit(both).getNumTrees < 30
+
+
+def test_walk_forward_releases_frames_when_a_fit_fails(spark, prepared):
+    train, _, names, target = prepared
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    with pytest.raises(ValueError, match="unknown model"):
+        models.walk_forward(train, names[:4], target, n_folds=1, models=["other"], n_features=2, trials=0, selector=QUICK_SELECTOR)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_report_reads_written_scores(team_games):
+    report, _ = run_backtest(materialized(build_features(team_games)), BACKTEST_FEATURES, settings=dict(numTrees=2))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Window" not in plan
+
+
+def test_games_without_scores_get_intervals(team_games):
+    rows = fill_medians(team_games, LINES).withColumn("prediction", F.col("total_line") / 2 + F.col("is_home"))
+    played = rows.where("points_for IS NOT NULL")
+    found = format_predictions(rows.where("points_for IS NULL"), fitted_on=played)
+    got = found.agg(F.count("*"), F.count("spread_low"), F.count("confidence")).first()
+    assert got[0] > 0 and len(set(got)) == 1
 
 
 def test_backtest_and_training_run(team_games):

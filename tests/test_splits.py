@@ -59,3 +59,22 @@ def test_fold_plan_has_no_shuffle_of_the_wide_frame(spark, team_games):
     plan = splits.time_folds(team_games)._jdf.queryExecution().executedPlan().toString()
     main = plan.split("Subqueries")[0]
     assert "Exchange" not in main.split("Subquery")[0]
+
+
+def test_rows_without_a_date_or_class_are_cut_too(spark, team_games):
+    """A null is a cell and a class like any other; nulls come first in time."""
+    odd = team_games.withColumn("date", F.when(F.col("game_id") % 3 != 0, F.col("date")))
+    n = odd.count()
+    sizes = {r.fold: r["count"] for r in splits.time_folds(odd).groupBy("fold").count().collect()}
+    assert [sizes[i] for i in (1, 2, 3, 4)] == [n // 5] * 4
+    late = splits.time_folds(odd).where("date IS NULL").agg(F.max("fold")).first()[0]
+    assert late <= splits.time_folds(odd).where("date IS NOT NULL").agg(F.max("fold")).first()[0]
+    games = team_games.where("is_home = 1").withColumn("label", F.when(F.col("game_id") % 3 == 0, 1))
+    counts = {r.label: r["count"] for r in games.groupBy("label").count().collect()}
+    trained = {r.label: r["count"] for r in splits.stratified_split(games, "label").where("is_train").groupBy("label").count().collect()}
+    assert None in counts and trained == {k: int(v * 0.8) for k, v in counts.items()}
+
+
+def test_seasons_after_the_warm_up(team_games):
+    found = [(season, train.agg(F.max("season")).first()[0], test.select("season").distinct().count()) for season, train, test in splits.expanding_seasons(team_games)]
+    assert found == [(2000, 1999, 1), (2001, 2000, 1)]
