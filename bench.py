@@ -14,7 +14,9 @@ HEADLINE = [
     "team_features", "situational", "matchup", "all_features", "add_features", "build_features",
     "opponent_join_date", "game_level", "prepare_data", "time_folds", "stratified_split", "game_metrics",
     "threshold_scan", "roi_two_level", "season_backtest", "cv_summary", "format_predictions",
+    "gbt_regression", "rf_backtest", "walk_forward",
 ]
+SETTINGS = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.driver.memory"]
 
 
 def main():
@@ -36,6 +38,8 @@ def main():
                 "queries": seconds,
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "cpus": CPUS,
+                "settings": {k: spark.conf.get(k) for k in SETTINGS},
+                "state": "one warm-up query, then each query once",
             }
         )
     )

@@ -17,7 +17,7 @@ from teamlines.operators import rolling as r
 from teamlines.plans import features as f
 from teamlines.plans import encode, models, scoring
 from teamlines.plans.betting_runs import run_backtest, run_training
-from teamlines.plans.prepare import prepare_data
+from teamlines.plans.prepare import IMPUTED, prepare_data
 from teamlines.session import materialized, scratch_path
 from teamlines.sources import sample_tables
 from teamlines.sources.schedules import build_and_save_features, load_games, load_schedules, save_features
@@ -388,8 +388,10 @@ def _prepared_games(restart):
 
 
 def _prepared(spark, folder):
-    """Feature rows are written once: train, test and every fit read them again."""
-    return prepare_data(materialized(f.create_all_features(tg(spark, folder))), TEST_SEASON)
+    """The columns that models need are written once: medians, train, test and every fit read them."""
+    rows = f.create_all_features(tg(spark, folder))
+    needed = [*KEYS, "opp", "season", "week", "date", "is_home", "points_for", *IMPUTED, *catalog.available_features(rows.columns)]
+    return prepare_data(materialized(rows.select(*dict.fromkeys(needed))), TEST_SEASON)
 
 
 def prepared(spark, folder):
@@ -529,8 +531,9 @@ def ridge_line(spark, folder):
     return spark.createDataFrame([(float(fitted.coefficients[0]), float(fitted.intercept))], "coefficient double, intercept double")
 
 
-# fitted models: rows, schema and determinism are the contract, not the fitted values.
-# Small tree counts keep these quick; the library defaults are the full sizes.
+# Fitted models: rows, schema and determinism are the contract, not the fitted values. All folds
+# and model kinds run; boosted trees are few, as each costs several Spark jobs one after another
+# (README has the measured time). The library's defaults are the full sizes.
 
 QUICK = dict(maxIter=5, maxDepth=4, stepSize=0.1)
 QUICK_FOREST = dict(numTrees=8, maxDepth=4)
@@ -572,8 +575,7 @@ def random_search(spark, folder):
 def walk_forward(spark, folder):
     train, _, names, target = _prepared(spark, folder)
     scores, _, _ = models.walk_forward(
-        train, names, target, n_folds=2, models=["base", "optimized", "forest"], trials=2,
-        space=QUICK_SPACE, boosted=QUICK, forest=QUICK_FOREST, selector=QUICK_SELECTOR,
+        train, names, target, trials=3, space=QUICK_SPACE, boosted=QUICK, forest=QUICK_FOREST, selector=QUICK_SELECTOR,
     )
     return scores
 
@@ -590,7 +592,7 @@ def cover_classifier(spark, folder):
 
 
 def rf_backtest(spark, folder):
-    report, _ = run_backtest(f.build_features(tg(spark, folder)), settings=dict(numTrees=10))
+    report, _ = run_backtest(f.build_features(tg(spark, folder)))  # the full forest of 400 trees a season
     return report
 
 
