@@ -703,6 +703,13 @@ def oracles():
         "cv_scores": query("SELECT fold, model_order, model, mae FROM cv", ["mae"], CV),
         "cv_summary": query(CV_SUMMARY, ["mean_mae", "std_mae"], CV),
         "best_model": query(f"{CV_SUMMARY} ORDER BY mean_mae, model_order LIMIT 1", ["mean_mae", "std_mae"], CV),
+        "top_features": query(
+            "SELECT * FROM ("
+            + " UNION ALL ".join(f"SELECT {i} AS idx, '{c}' AS feature, round(abs(corr({c}, points_for)), 6) AS importance FROM short_rows" for i, c in enumerate(SHORT_NAMES))
+            + ") ORDER BY importance DESC, idx LIMIT 4",
+            ["importance"],
+            leveled(),
+        ),
         "vote_blend": query(
             f"SELECT game_id, team, 0.6e0 * prediction + 0.3e0 * avg(points_for) {frame(5)} + 0.1e0 * avg(points_for) {frame(16)} AS prediction FROM stand_in",
             ["prediction"],

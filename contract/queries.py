@@ -460,6 +460,16 @@ def best_model(spark, folder):
     return evaluate.best_model(evaluate.cv_summary(_cv_scores(spark, folder)))
 
 
+def top_features(spark, folder):
+    """The four rolling means that follow the score closest, picked as a selector's importances are."""
+    rows = r.create_team_rolling_features(tg(spark, folder))
+    names = [f"{p}_avg_{n}" for p in ("pf", "pa", "pd") for n in w.SHORT_WINDOWS]
+    strength = [F.round(F.abs(F.corr(c, "points_for")), 6) for c in names]
+    found = [F.struct(F.lit(i).alias("idx"), F.lit(c).alias("feature"), x.alias("importance")) for i, (c, x) in enumerate(zip(names, strength))]
+    importance = rows.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return importance.where(F.col("idx").isin(models.top_features(importance, 4)))
+
+
 def vote_blend(spark, folder):
     return recent(tg(spark, folder)).select(*KEYS, F.expr(models.blend_sql()).alias("prediction"))
 
@@ -581,13 +591,11 @@ def walk_forward(spark, folder):
 
 
 def cover_classifier(spark, folder):
+    """Every scored game of the test seasons, with the tuned threshold."""
     found = run_training(tg(spark, folder), EARLY_SEASONS, [2000, 2001], settings=dict(maxIter=5, stepSize=0.1))
-    row = (
-        float(found["best_threshold"]), found["test_accuracy"], found["test_size"], len(found["features"]),
-        found["roi_60"]["n_bets"], found["roi_65"]["n_bets"],
-    )
-    return spark.createDataFrame(
-        [row], "best_threshold double, test_accuracy double, test_size long, features int, bets_60 long, bets_65 long"
+    return found["scored"].select(
+        "game_id", F.col("season_home").alias("season"), "beat_spread_home", "prob", "predicted",
+        F.lit(float(found["best_threshold"])).alias("threshold"),
     )
 
 
@@ -675,6 +683,7 @@ CHECKED = {
     "cv_scores": cv_scores,
     "cv_summary": cv_summary,
     "best_model": best_model,
+    "top_features": top_features,
     "vote_blend": vote_blend,
     "threshold_scan": threshold_scan,
     "best_threshold": best_threshold,
