@@ -149,11 +149,18 @@ def predict(net, texts):
 
 
 def sample_of(labelled: DataFrame, sample=SAMPLE, snippet=SNIPPET):
-    """About ``sample`` rows of each language (all, if there are fewer), ``lang, snippet``, in a fixed order."""
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    """About ``sample`` rows of each language (all, if there are fewer), ``lang, snippet``, in a fixed order.
+
+    Rows are counted per language first; these counts are as few as the network has outputs, so each
+    task picks its rows by them and only the snippets picked leave it.
+    """
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not sizes:
+        return []
+    size = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["n"])])[F.col("lang")]
     mixed = F.xxhash64("doc_id", F.length("text"))
     at = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.greatest(F.length("text") - snippet, F.lit(1))).cast("int") + 1
-    chosen = labelled.join(sizes, "lang").where(F.pmod(mixed, F.lit(1 << 20)) * F.col("n") < F.lit(sample << 20))
+    chosen = labelled.where(F.pmod(mixed, F.lit(1 << 20)) * size < F.lit(sample << 20))
     rows = chosen.select("lang", "doc_id", F.substring("text", at, F.lit(snippet)).alias("snippet")).collect()
     return sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["snippet"]))
 
