@@ -104,10 +104,12 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, percent, k):
 
 
 def confirmed(asked: DataFrame, texts: DataFrame, width, percent):
-    """Links ``a, b`` within blocks ``x, y, z, row_id, other``: every centre against every other row of its block.
+    """Edges ``a, b`` that join what links join within blocks ``x, y, z, row_id, other``.
 
-    The texts of a block meet in one task, centres first. It holds the centres' sets as one index
-    and reads the other texts one by one, so its memory doesn't grow with the block.
+    Every centre is compared with every other row of its block. The texts of a block meet in one
+    task, centres first. It holds the centres' sets as one index and reads the other texts one by
+    one, so its memory doesn't grow with the block. A row linked to several centres gives one
+    edge, and two centres that such a row joins give one, so edges are never more than the rows.
     """
     key = ["x", "y", "z"]
     met = asked.join(texts.select("row_id", "text"), "row_id").repartition(*key).sortWithinPartitions(*key, "other")
@@ -125,8 +127,13 @@ def confirmed(asked: DataFrame, texts: DataFrame, width, percent):
                     centres.add(row, values)
                     continue
                 near = [c for c in centres.linked(values, percent) if c != row]
-                a += near
-                b += [row] * len(near)
+                if near:
+                    a.append(near[0])
+                    b.append(row)
+                for c in near[1:]:
+                    if centres.join(near[0], c):
+                        a.append(near[0])
+                        b.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return materialized(met.select(*key, "row_id", "other", "text").mapInArrow(compare, "a long, b long"))
@@ -136,7 +143,18 @@ class _Centres:
     """The sets of a block's centres and an index of their values."""
 
     def __init__(self):
-        self.rows, self.sets, self.values = [], [], None
+        self.rows, self.sets, self.values, self.root = [], [], None, {}
+
+    def _find(self, row):
+        while (above := self.root.get(row, row)) != row:
+            self.root[row] = row = self.root.get(above, above)
+        return row
+
+    def join(self, one, two):
+        """Whether two centres were still apart; now they aren't."""
+        one, two = self._find(one), self._find(two)
+        self.root[two] = one
+        return one != two
 
     def add(self, row, values):
         self.rows.append(row)
@@ -218,17 +236,19 @@ def linked_rows(docs: DataFrame, sketches: DataFrame, width, percent, k, short,
     texts = rows_of(docs, text=text)
     lists = _lists(sketches.select("row_id", "n", F.explode("sketch").alias("value")))
 
-    def compare(lists):
+    def compare(lists, texts):
         return confirmed(_pair_blocks(_estimated(_pairs(lists, percent, short), sketches, percent, k)), texts, width, percent)
 
-    found = compare(lists)
+    found = compare(lists, texts)
     labels = components(found)
     hard = _open(lists, labels, short).groupBy("row_id", "n").agg(F.count("*").alias("open"))
     hard = materialized(hard.where(F.col("open") >= F.least(F.lit(least_shared(k, percent)), F.expr(f"(n * {percent} + 99) div 100"))))
     if hard.isEmpty():
         return labels
-    lists = _lists(_rare_first(texts.join(hard.select("row_id"), "row_id", "left_semi"), width, percent))
-    found = found.union(compare(lists))
+    # All that follows compares these documents only, so their texts are taken out of the corpus once.
+    texts = materialized(texts.join(hard.select("row_id"), "row_id", "left_semi").select("row_id", "text"))
+    lists = _lists(_rare_first(texts, width, percent))
+    found = found.union(compare(lists, texts))
     labels = components(found)
     rest = _open(lists, labels, short)
     if rest.isEmpty():
