@@ -543,7 +543,7 @@ def ridge_line(spark, folder):
 
 # Fitted models: rows, schema and determinism are the contract, not the fitted values. All folds
 # and model kinds run; boosted trees are few, as each costs several Spark jobs one after another
-# (README has the measured time). The library's defaults are the full sizes.
+# (see README). The library's defaults are the full sizes.
 
 QUICK = dict(maxIter=5, maxDepth=4, stepSize=0.1)
 QUICK_FOREST = dict(numTrees=8, maxDepth=4)
