@@ -1,10 +1,11 @@
 """Benchmark decontamination by q-gram filtering and banded alignment.
 
-Texts are lower-cased and white space becomes one space. Each benchmark item is cut into
-overlapping windows. A window of ``w`` characters that lies in a document with at most ``e`` edits
-shares at least ``w + 1 - q (e + 1)`` q-grams with it, all on diagonals at most ``e`` apart. So the
-shared q-grams of a document and a window are counted in overlapping bands of diagonals, the bands
-with enough of them are retained, and a banded alignment confirms them.
+Texts are lower-cased and white space becomes one space. A window begins at every character of a
+benchmark item. A window of ``w`` characters that lies in a document with at most ``e`` edits
+shares at least ``w + 1 - q (e + 1)`` q-grams with it, all on diagonals at most ``e`` apart. Items
+are cut into segments so that each window lies in one. The shared q-grams of a document and a
+segment are counted in overlapping bands of diagonals, the bands with enough of them for one window
+are retained, and a banded alignment of every window of the segment confirms them.
 
 The benchmark is a query set: it is cut into blocks of bounded size by a hash of the item, and each
 block is compared with all documents in one scan that shuffles nothing.
@@ -22,13 +23,16 @@ from teamlines.llm.shingles import mix
 
 Q = 10
 WINDOW = 80  # characters, about thirteen words
-STRIDE = 40
+STRIDE = 1  # a window at every character: any 80 of an item are one
 EDITS = 0.075  # of a window's characters
 LEAST_CHARS = 24  # shorter items are no evidence inside a text; they match only a document that is equal to them
+STARTS = 81  # windows of one segment
+SPAN = WINDOW + STARTS - 1  # characters of a segment
 BAND = 8  # no smaller than the most edits; bands are twice as wide and overlap by half
 BLOCK_CHARS = 1 << 20
 CHUNK_CHARS = 1 << 21
 MOST_HITS = 1 << 22
+ALIGNED = 128  # segments aligned at a time
 _BITS = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = 1 << 21  # a code that no character has
@@ -60,10 +64,10 @@ def edit_budget(w, q=Q, share=EDITS):
 
 
 class Index:
-    """The q-grams of the windows of some items."""
+    """The q-grams of the segments of some items."""
 
     def __init__(self, items):
-        self.items, self.windows, self.owner, self.equal = [], [], [], {}
+        self.items, self.segments, self.owner, self.equal = [], [], [], {}
         for item_id, text in items:
             plain = normalise(text)
             if len(plain) < LEAST_CHARS:
@@ -71,19 +75,20 @@ class Index:
                     self.equal.setdefault(plain, []).append(item_id)
                 continue
             values = codes(plain)
-            w = min(WINDOW, len(values))
-            for start in sorted({*range(0, len(values) - w + 1, STRIDE), len(values) - w}):
-                self.windows.append(values[start : start + w])
+            for start in range(0, max(1, len(values) - WINDOW + 1), STARTS):
+                self.segments.append(values[start : start + SPAN])
                 self.owner.append(len(self.items))
             self.items.append(item_id)
-        hashes = [grams(w) for w in self.windows]
+        self.owner = np.array(self.owner, np.int64)
+        hashes = [grams(s) for s in self.segments]
         count = np.array([len(h) for h in hashes], np.int64)
         flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(flat, kind="stable")
-        self.window_of = np.repeat(np.arange(len(count)), count)[order]
+        self.segment_of = np.repeat(np.arange(len(count)), count)[order]
         self.place_of = (np.concatenate([np.arange(n) for n in count]) if hashes else np.empty(0, np.int64))[order]
         self.hashes, self.first, self.many = np.unique(flat[order], return_index=True, return_counts=True)
-        self.size = np.array([len(w) for w in self.windows], np.int64)
+        self.length = np.array([len(s) for s in self.segments], np.int64)
+        self.size = np.minimum(self.length, WINDOW)  # of a window
         self.budget = np.array([edit_budget(n) for n in self.size], np.int64)
         self.needed = self.size + 1 - Q * (self.budget + 1)
         self.maybe = np.zeros(1 << _BITS, bool)
@@ -91,7 +96,7 @@ class Index:
 
 
 def retained(index, values):
-    """``(window, band)`` of the bands of ``values`` that share enough q-grams with a window."""
+    """``(segment, band)`` of the bands of ``values`` that share enough q-grams with a segment for one of its windows."""
     h = grams(values)
     at = np.flatnonzero(index.maybe[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
     known = np.searchsorted(index.hashes, h[at])
@@ -99,8 +104,8 @@ def retained(index, values):
     same = index.hashes[known] == h[at]
     at, known = at[same], known[same]
     many = index.many[known]
-    bands = len(values) // BAND + 2 * (WINDOW // BAND) + 4  # more than there are, so keys don't meet
-    shift = WINDOW // BAND + 2
+    bands = len(values) // BAND + 2 * (SPAN // BAND) + 4  # more than there are, so keys don't meet
+    shift = SPAN // BAND + 2
     keys, sums = np.empty(0, np.int64), np.empty(0, np.int64)
     cuts = np.searchsorted(np.cumsum(many), np.arange(MOST_HITS, many.sum() + MOST_HITS, MOST_HITS))
     begin = 0
@@ -109,42 +114,55 @@ def retained(index, values):
         begin = part.stop
         n = many[part]
         listing = np.repeat(index.first[known[part]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        window = index.window_of[listing]
+        segment = index.segment_of[listing]
         diagonal = np.repeat(at[part], n) - index.place_of[listing]
-        low = window * bands + diagonal // BAND + shift
+        low = segment * bands + diagonal // BAND + shift
         k, c = np.unique(np.concatenate([low, low - 1]), return_counts=True)
         keys, where = np.unique(np.concatenate([keys, k]), return_inverse=True)
         sums = np.bincount(where, np.concatenate([sums, c]), len(keys)).astype(np.int64)
-    window, band = keys // bands, keys % bands - shift
-    enough = sums >= index.needed[window] if len(keys) else np.zeros(0, bool)
-    return window[enough], band[enough]
+    segment, band = keys // bands, keys % bands - shift
+    enough = sums >= index.needed[segment] if len(keys) else np.zeros(0, bool)
+    return segment[enough], band[enough]
 
 
-def aligned(index, values, window, band):
-    """Edits of each window against its band of ``values``, and where the best alignment ends."""
-    edits, ends = np.full(len(window), 1 << 20), np.zeros(len(window), np.int64)
+def aligned(index, values, segment, band):
+    """Edits of each segment's windows (columns, by start) against its band of ``values``, and where the best alignments end.
+
+    Columns without a window have more edits than any budget.
+    """
+    edits, ends = np.full((len(segment), STARTS), 127, np.int8), np.zeros((len(segment), STARTS), np.int64)
     width = 2 * BAND + 2 * BAND + 1
-    padded = np.concatenate([np.full(width + WINDOW, _NONE, np.uint32), values, np.full(width + 2 * WINDOW, _NONE, np.uint32)])
-    for w in np.unique(index.size[window]):
-        mine = np.flatnonzero(index.size[window] == w)
-        # Column k of row i is the cell of i window characters and the text up to base + i + k.
-        base = band[mine] * BAND - BAND + width + WINDOW
-        patterns = np.stack([index.windows[x] for x in window[mine]])
-        cost, step = np.zeros((len(mine), width), np.int32), np.arange(width, dtype=np.int32)
-        for i in range(w):
-            text = padded[base[:, None] + i + step]
-            ahead = np.concatenate([cost[:, 1:], np.full((len(mine), 1), 1 << 20, np.int32)], axis=1)
-            cost = np.minimum(cost + (text != patterns[:, i : i + 1]), ahead + 1)
-            cost = np.minimum.accumulate(cost - step, axis=1) + step
-        best = cost.argmin(axis=1)
-        edits[mine] = cost[np.arange(len(mine)), best]
-        ends[mine] = base + w + best - width - WINDOW
+    padded = np.concatenate([np.full(width + SPAN, _NONE, np.uint32), values, np.full(width + 2 * SPAN, _NONE, np.uint32)])
+    for length in np.unique(index.length[segment]):
+        mine = np.flatnonzero(index.length[segment] == length)
+        for begin in range(0, len(mine), ALIGNED):
+            part = mine[begin : begin + ALIGNED]
+            w, origin = min(WINDOW, int(length)), width + SPAN
+            starts = int(length) - w + 1
+            base = band[part] * BAND - BAND + origin
+            text = padded[np.arange(length + width)[:, None] + base]
+            pattern = np.stack([index.segments[x] for x in segment[part]], axis=1)
+            # Cell (k, p) of a segment: its character p against the text at base + p + k.
+            differ = np.stack([text[k : k + length] != pattern for k in range(width)]).view(np.int8)
+            # Cell (k, s) after i steps is that of i characters of window s and the text up to base + s + i + k.
+            cost = np.zeros((width, starts, len(part)), np.int8)  # at most w
+            more = np.empty_like(cost[0])
+            for i in range(w):
+                ahead = cost[1:] + np.int8(1)
+                cost += differ[:, i : i + starts]
+                np.minimum(cost[:-1], ahead, out=cost[:-1])
+                for k in range(1, width):
+                    np.add(cost[k - 1], np.int8(1), out=more)
+                    np.minimum(cost[k], more, out=cost[k])
+            best = cost.argmin(axis=0)
+            edits[part, :starts] = cost.min(axis=0).T
+            ends[part, :starts] = (base - origin + w + np.arange(starts)[:, None] + best).T
     return edits, ends
 
 
 def _chunks(texts):
     """Runs of normalised texts with their codes, in a row, far enough apart that no band holds two."""
-    gap = np.full(2 * WINDOW, _NONE, np.uint32)
+    gap = np.full(2 * SPAN, _NONE, np.uint32)
     held, begins, size = [], [], 0
     for i, text in enumerate(texts):
         values = codes(text)
@@ -162,22 +180,32 @@ def matches_in(index, texts):
     """``(text number, item id, windows, least edits, start, end)`` of each text and item that match."""
     plain = [normalise(t) for t in texts]
     out = [(i, item, 1, 0, 0, len(t)) for i, t in enumerate(plain) for item in index.equal.get(t, ())]
-    if not index.windows:
+    if not index.segments:
         return out
     for begins, values in _chunks(plain):
-        window, band = retained(index, values)
-        edits, ends = aligned(index, values, window, band)
-        fits = edits <= index.budget[window]
-        window, edits, ends = window[fits], edits[fits], ends[fits]
-        starts = np.array([b for _, b in begins])
-        text = np.searchsorted(starts, ends - 1, "right") - 1
-        found = {}
-        for t, w, e, end in zip(text, window, edits, ends):
-            low, high = int(max(0, end - starts[t] - index.size[w])), int(end - starts[t])
-            had = found.setdefault((int(t), index.owner[w]), [set(), int(e), low, high])
-            had[0].add(int(w))
-            had[1:] = [min(had[1], int(e)), min(had[2], low), max(had[3], high)]
-        out += [(begins[t][0], index.items[k], len(w), e, low, high) for (t, k), (w, e, low, high) in found.items()]
+        segment, band = retained(index, values)
+        held = [np.empty((0, 4), np.int64)]
+        for begin in range(0, len(segment), 8 * ALIGNED):
+            part = segment[begin : begin + 8 * ALIGNED]
+            edits, ends = aligned(index, values, part, band[begin : begin + 8 * ALIGNED])
+            at, start = np.nonzero(edits <= index.budget[part][:, None])
+            held.append(np.stack([part[at], start, edits[at, start], ends[at, start]], axis=1))
+        segment, start, edits, ends = np.concatenate(held).T
+        begun = np.array([b for _, b in begins])
+        text = np.searchsorted(begun, ends - 1, "right") - 1
+        owner, window = index.owner[segment], segment * STARTS + start
+        order = np.lexsort((window, owner, text))
+        text, owner, window, edits, ends, size = (x[order] for x in (text, owner, window, edits, ends, index.size[segment]))
+        other = np.concatenate([[True], (text[1:] != text[:-1]) | (owner[1:] != owner[:-1])])[: len(text)]
+        first = np.flatnonzero(other)
+        if not len(first):
+            continue
+        other[1:] |= window[1:] != window[:-1]
+        sizes = np.array([len(plain[i]) for i, _ in begins])
+        high = np.minimum(ends - begun[text], sizes[text])  # an alignment may end in the gap by edits
+        low = np.maximum(0, high - size)
+        found = (np.add.reduceat(other.astype(np.int64), first), np.minimum.reduceat(edits, first), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first))
+        out += [(begins[t][0], index.items[k], *row) for t, k, *row in zip(*(x.tolist() for x in (text[first], owner[first], *found)))]
     return out
 
 

@@ -125,3 +125,26 @@ def test_filter_keeps_its_promise():
         window, band = decontam.retained(index, values)
         edits, _ = decontam.aligned(index, values, window, band)
         assert len(edits) and edits.min() <= decontam.edit_budget(w)
+
+
+@pytest.mark.parametrize("length", [80, 85, 99, 118])
+def test_run_from_any_start_of_an_item(length):
+    """Any 80 characters of an item are enough, wherever in the item they begin and with as many edits as allowed."""
+    item = decontam.normalise(prose(60, 77))[:390]
+    index = decontam.Index([(1, item)])
+    rng = random.Random(length)
+    texts, damages = [], []
+    for start in range(len(item) - length + 1):
+        run = item[start : start + length]
+        texts.append("Ø" * 50 + run + "ø" * 50)
+        damages.append("Ø" * 50 + damaged(run[:80], decontam.edit_budget(80), rng) + "ø" * 50)
+    assert {n for n, *_ in decontam.matches_in(index, texts)} == set(range(len(texts)))
+    near = {n for n, t in enumerate(damages) if fewest_edits(item[n : n + 80], decontam.normalise(t)) <= decontam.edit_budget(80)}
+    assert near and near <= {n for n, *_ in decontam.matches_in(index, damages)}
+    assert not decontam.matches_in(index, ["Ø" * 50 + item[s : s + 73] + "ø" * 50 for s in range(0, 300, 7)])
+
+
+def test_windows_counted_once():
+    item = decontam.normalise(prose(90, 78))[:300].strip()
+    (found,) = decontam.matches_in(decontam.Index([(1, item)]), ["Ø" * 40 + item])
+    assert found[2:] == (len(item) - 80 + 1, 0, 40, 40 + len(item))
