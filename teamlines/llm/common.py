@@ -1,12 +1,17 @@
 """Helpers the corpus operators share."""
 
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from teamlines.session import materialized
+
 ROOT = str(Path(__file__).resolve().parents[2])
+ROW_BITS = 40  # of a row number, for the place in a file
+SLASHES = "^([A-Za-z0-9+.-]+):/+"
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -23,15 +28,53 @@ def fresh_name(columns, wanted):
     return wanted
 
 
+def _in_files(df: DataFrame):
+    """Whether each row of ``df`` is one row of a Parquet file, picked the same way at each reading."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        if not plan.deterministic():
+            return False
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return relation.getClass().getSimpleName() == "HadoopFsRelation" and relation.fileFormat().toString() == "Parquet"
+
+
+def numbered(df: DataFrame):
+    """``df`` where every reading gives a row the same number: itself if it is a Parquet table, else written once.
+
+    Operators that read their input more than once begin with it.
+    """
+    return df if _in_files(df) else materialized(df)
+
+
+def _with_number(df: DataFrame, columns, name):
+    """``columns`` of ``df`` and the number of each row: its file's place among the sorted files, and its place in the file.
+
+    Neither depends on how the files are split, so executors may come and go between readings.
+    """
+    if not _in_files(df):  # read once only, or it would be numbered()
+        return df.select(*columns, F.monotonically_increasing_id().alias(name))
+    # A list of files writes file:///a, a row's metadata file:/a; all else is alike.
+    files = [(re.sub(SLASHES, r"\1:/", path), i << ROW_BITS) for i, path in enumerate(sorted(df.inputFiles()))]
+    path, first, at = (fresh_name([*df.columns, name], f"{name}_{x}") for x in ("path", "first", "at"))
+    meta = df.metadataColumn("_metadata")
+    found = df.select(*columns, F.regexp_replace(meta["file_path"], SLASHES, "$1:/").alias(path), meta["row_index"].alias(at))
+    listed = df.sparkSession.createDataFrame(files, f"`{path}` string, `{first}` long")
+    unknown = F.raise_error(F.lit("a row of a file that wasn't listed")).cast("long")
+    found = found.join(F.broadcast(listed), path, "left")
+    return found.withColumn(name, F.coalesce(F.col(first), unknown) + F.col(at)).drop(path, first, at)
+
+
 def with_row_id(df: DataFrame, name="row_id"):
     """``df`` and a number for each row, and that column's name.
 
-    Rows that repeat in every column still get numbers of their own. The number follows the
-    splits of the input files, so each reading of one written table gives the same numbers;
-    ``df`` should be such a table, not the output of a shuffle.
+    Rows that repeat in every column still get numbers of their own. Each reading of a Parquet
+    table gives the same numbers; other frames must have gone through ``numbered``.
     """
     name = fresh_name(df.columns, name)
-    return df.withColumn(name, F.monotonically_increasing_id()), name
+    return _with_number(df, [df[c] for c in df.columns], name), name
 
 
 def _importable(spark):
@@ -45,8 +88,8 @@ def _importable(spark):
 def rows_of(df: DataFrame, **columns):
     """Only the named columns under fixed names, with ``row_id``: extra or clashing columns never matter."""
     _importable(df.sparkSession)
-    picked = df.select(*[(df[c] if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
-    return picked.withColumn("row_id", F.monotonically_increasing_id())
+    picked = [(df[c] if isinstance(c, str) else c).alias(k) for k, c in columns.items()]
+    return _with_number(df, picked, "row_id")
 
 
 def keep_rows(df: DataFrame, wanted: DataFrame):

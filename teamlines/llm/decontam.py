@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import rows_of, with_row_id
+from teamlines.llm.common import numbered, rows_of, with_row_id
 from teamlines.llm.shingles import mix
 
 Q = 10
@@ -250,6 +250,7 @@ def _against(rows, items, schema):
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **settings):
     """``docs`` without the rows in which a benchmark item is found; all columns stay."""
+    docs = numbered(docs)
     tagged, name = with_row_id(docs)
     found = leaks(docs, benchmark, **settings).select(F.col("row_id").alias(name)).distinct()
     return tagged.join(found, name, "left_anti").select(*[tagged[c] for c in docs.columns])

@@ -16,7 +16,7 @@ several texts, they find it by digest and text.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import WHITE, ids_first, keep_rows, rows_of
+from teamlines.llm.common import WHITE, ids_first, keep_rows, numbered, rows_of
 from teamlines.session import materialized
 
 
@@ -37,7 +37,7 @@ def duplicate_groups(docs: DataFrame, salts=16, digest=sha256, text="text", doc_
     row of ``docs``. The row with the smallest id stays; rows without an id come last, and of
     rows that repeat an id exactly one stays. An empty table gives an empty result.
     """
-    rows = rows_of(docs, doc_id=doc_id, text=text)
+    rows = rows_of(numbered(docs), doc_id=doc_id, text=text)
     keyed = rows.select("row_id", "doc_id", normalised(F.col("text")).alias("content"))
     keyed = keyed.withColumn("digest", digest(F.col("content")))
     salted = keyed.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
@@ -71,4 +71,5 @@ def duplicate_groups(docs: DataFrame, salts=16, digest=sha256, text="text", doc_
 
 def drop_duplicates(docs: DataFrame, **settings):
     """``docs`` without the rows whose text an earlier id has; all columns stay."""
+    docs = numbered(docs)
     return keep_rows(docs, duplicate_groups(docs, **settings).where("kept"))

@@ -9,7 +9,7 @@ decided by the sketch; the sites of lines near it are counted exactly. Lines wit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import rows_of
+from teamlines.llm.common import numbered, rows_of
 from teamlines.session import materialized
 
 MIN_SITES = 10
@@ -49,6 +49,7 @@ def remove_boilerplate(docs: DataFrame, text="text", site="source", doc_id="doc_
     has one blank line. Lines that stay keep their order and their own spaces. Repeated rows
     each get a result.
     """
+    docs = numbered(docs)
     lines = document_lines(docs, text, site)
     shared = materialized(boilerplate_lines(lines, **settings))
     removed = lines.join(shared, KEY, "left_semi").groupBy("row_id").agg(F.collect_set("at").alias("removed"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import ids_first, keep_rows, rows_of
+from teamlines.llm.common import ids_first, keep_rows, numbered, rows_of
 from teamlines.llm.components import components
 from teamlines.llm.shingles import digest, shingle_sets
 from teamlines.session import materialized
@@ -264,6 +264,7 @@ def near_duplicates(docs: DataFrame, width=WIDTH, percent=PERCENT, k=RETAINED, s
     (null, empty, white space) have no shingles and no links. Rows without an id are compared
     like others but give no id.
     """
+    docs = numbered(docs)
     rows = materialized(sketch_rows(docs, width, k, text, doc_id))
     full = rows.where("n > 0")
     classes = materialized(full.groupBy("digest").agg(F.min("row_id").alias("chosen")))
@@ -286,4 +287,5 @@ def near_duplicates(docs: DataFrame, width=WIDTH, percent=PERCENT, k=RETAINED, s
 
 def drop_near_duplicates(docs: DataFrame, **settings):
     """``docs`` with one row of each component; all columns stay."""
+    docs = numbered(docs)
     return keep_rows(docs, near_duplicates(docs, **settings).where("row_id = keep_row"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import keep_rows, rows_of
+from teamlines.llm.common import keep_rows, numbered, rows_of
 from teamlines.llm.shingles import word_hashes
 from teamlines.session import materialized
 
@@ -227,4 +227,5 @@ def scores(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id", lab
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings):
     """``docs`` without the rows that the classifier rejects; all columns stay."""
+    docs = numbered(docs)
     return keep_rows(docs, scores(docs, labels, **settings).where("predicted = 1"))

@@ -17,7 +17,7 @@ from re import _parser as grammar
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import rows_of
+from teamlines.llm.common import numbered, rows_of
 
 MOST_STRINGS = 64  # a longer list of alternatives ends an exact run of the pattern
 WIDEST_CLASS = 8  # a wider character class ends it too
@@ -181,7 +181,7 @@ def find_secrets(docs: DataFrame, rules=RULES, base=BASE, text="text", doc_id="d
     """
     rules = tuple(rules)
     indexed = [r for r in rules if ANY != trigram_query(r.pattern)]
-    rows = rows_of(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows_of(numbered(docs), doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     if indexed:
         searched = rows.join(candidates(rows, indexed), "row_id", "left")
     else:

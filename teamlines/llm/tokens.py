@@ -10,7 +10,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import rows_of
+from teamlines.llm.common import numbered, rows_of
 from teamlines.session import materialized, scratch_path
 
 VOCABULARY = "byte_bpe_50k"
@@ -153,6 +153,7 @@ def token_counts(docs: DataFrame, path=None, text="text", doc_id="doc_id", block
     A null or empty text has no tokens. Repeated rows are counted each. No file is written for an
     empty table, and its result is empty.
     """
+    docs = numbered(docs)
     written = write_token_files(docs, path, text)
     files = written.groupBy("file").agg(F.sum("tokens").alias("tokens"))
     found = scan_separators(files, block_tokens=block_tokens)

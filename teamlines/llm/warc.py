@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import rows_of
+from teamlines.llm.common import numbered, rows_of
 from teamlines.llm.tokens import _file_system
 from teamlines.session import materialized, scratch_path
 
@@ -197,6 +197,7 @@ def write_packages(pages: DataFrame, folder=None, least=0, limit=PACKAGE_BYTES,
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "packages")
+    pages = numbered(pages)
     rows = rows_of(pages, page_id=F.col(page_id).cast("long"), url=url, html=html)
     keyed = rows.select("row_id", "page_id", F.sha2(F.coalesce("html", F.lit("")), 256).alias("same"), F.octet_length(F.coalesce("html", F.lit(""))).alias("n"))
     keyed = materialized(keyed.where(F.col("n") >= least).select("row_id", "page_id", "same"))
