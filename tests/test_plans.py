@@ -1,6 +1,6 @@
 """Shapes of the physical plans: shuffles, pruning, no Python workers."""
 
-from conftest import SMALL
+from helpers import SMALL
 from teamlines.operators import rolling
 from teamlines.operators.joins import opponent_columns, pair_sides
 from teamlines.plans.features import create_all_features, create_advanced_team_features
