@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from teamlines.llm import decontam, exact, langid, lines, merkle, neardup, packing, quality, secrets, tokens, warc
+from teamlines.llm import alignment, decontam, exact, langid, lines, merkle, nearest, neardup, packing, quality, secrets, tokens, warc
 from teamlines.llm.common import read_table
 
 
@@ -68,6 +68,16 @@ def op11_merkle_manifest(spark, sf_dir):
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_projection_forest(spark, sf_dir):
+    found = nearest.nearest(read_table(spark, sf_dir, "embeddings"), k=20, every=20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    found = alignment.alignments(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +92,8 @@ QUERIES = {
         op9_line_dedup,
         op10_minhash_near_dedup,
         op11_merkle_manifest,
+        op12_projection_forest,
+        op13_tokenizer_alignment,
     )
 }
 
@@ -217,7 +229,7 @@ joining AS (
   FROM joining WHERE n > 1 GROUP BY level, idx // 2
 ),
 steps AS (
-  SELECT l.tree, l.idx, p.level, l.idx >> p.level AS at, s.digest
+  SELECT l.tree, l.idx, p.level, l.idx >> p.level AS spot, s.digest
   FROM l JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) p ON p.tree = l.tree
   LEFT JOIN nodes s ON s.tree = l.tree AND s.level = p.level AND s.idx = xor(l.idx >> p.level, 1)
   UNION ALL
@@ -227,7 +239,7 @@ steps AS (
 ),
 proofs AS (
   SELECT tree, idx, sha256(coalesce(string_agg(digest, '' ORDER BY level), '')) AS proof_sha256,
-         list(CASE WHEN at % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(digest, '') ORDER BY level) AS path
+         list(CASE WHEN spot % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(digest, '') ORDER BY level) AS path
   FROM steps GROUP BY tree, idx
 ),
 f AS (
