@@ -34,7 +34,7 @@ def lists(found):
 
 
 def table(written, rows):
-    return written([(i, v, 1, 2, 3, "x") for i, v in rows], SCHEMA, "embeddings")
+    return written([(i, v and [x if x is None else float(x) for x in v], 1, 2, 3, "x") for i, v in rows], SCHEMA, "embeddings")
 
 
 def made(n, seed, width=16, clusters=8):
