@@ -1,16 +1,18 @@
 """Mixture-controlled packing by deficit round-robin over one token queue per source.
 
-Each source is a queue of its documents in a shuffled order that only the ids fix. In every round
-a source's deficit grows by its quantum, its target share of one window, and it serves the next
-packets (``packet`` tokens of its queue) as long as its deficit covers them; what is left is carried
-to the next round. A queue that never waits serves a packet in the first round in which the quanta
-since the start cover the packet's end, ``ceil(end / quantum)``. So every packet's round, deficits
-included, follows from its place in its queue, and no task has to replay the rounds before. A queue
-that is empty drops out and the others fill the windows.
+Each source is a queue of its documents in a shuffled order that only the ids fix. A round fills one
+window: in every round a source's deficit grows by its quantum, its target share of a window, and it
+serves as many whole tokens of its queue as the deficit covers; the fraction that is left is carried
+to the next round, across windows, blocks and partitions. A queue that never waits has served
+``floor(round * quantum)`` tokens after a round. So the round of every token, deficits included, follows
+from its place in its queue, and no task has to replay the rounds before. A source with less than a
+token a window is served where its share adds up to one. A queue that is empty drops out and the
+others fill the windows.
 
 The order of all tokens is (round, source, place in queue); windows are cut from it every
-``window`` tokens, so all are full but the last. Queue places and window places are prefix sums in
-two levels: within blocks of bounded size, and over the block totals.
+``window`` tokens, so all are full but the last. Whole tokens make a round a little shorter than a
+window, by less than a token a source in all, however many rounds there are. Queue places and window
+places are prefix sums in two levels: within blocks of bounded size, and over the block totals.
 """
 
 import zlib
@@ -27,9 +29,8 @@ from teamlines.llm.tokens import encoder, vocabulary_path
 from teamlines.session import materialized
 
 WINDOW = 1024
-PACKET = 256  # a window holds at least four packets; smaller ones follow the mixture closer and cut more documents
 SEPARATOR = 0  # fixed value: the id after each document
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 4_096
 FANOUT = 1024  # blocks whose totals one task adds up
 
 
@@ -92,8 +93,10 @@ def quanta(documents: DataFrame, window=WINDOW, targets=None):
     """``queue, quantum``: tokens of each source a round. Without ``targets`` its share of all tokens.
 
     ``targets`` maps sources to weights; sources it doesn't name share one weight of the rest, their
-    part of the tokens. Weights are scaled to sum to 1.
+    part of the tokens. Weights are above 0 and scaled to sum to 1.
     """
+    if targets and min(targets.values()) <= 0:
+        raise ValueError("a source with no share of a window can't be packed")
     sizes = documents.groupBy("queue").agg(F.sum("tokens").alias("size"))
     total = sizes.agg(F.sum("size")).first()[0] or 1
     natural = F.col("size") / F.lit(float(total))
@@ -106,25 +109,41 @@ def quanta(documents: DataFrame, window=WINDOW, targets=None):
     return sizes.select("queue", (natural * window).alias("quantum"))
 
 
-def pieces(documents: DataFrame, window=WINDOW, packet=PACKET, targets=None, block_rows=BLOCK_ROWS):
+def _runs():
+    """``round, low, high`` of the stretches of a document, ``begin`` to ``begin + tokens``, that its queue serves round by round."""
+    served = lambda n: F.floor(n * F.col("quantum")).cast("long")
+    end = F.col("begin") + F.col("tokens")
+    # Quanta of a token or more: a stretch a round. The rounds tried are one more at both ends than can have tokens.
+    first, last = F.greatest(F.floor(F.col("begin") / F.col("quantum")).cast("long"), F.lit(1)), F.floor(end / F.col("quantum")).cast("long") + 2
+    by_round = F.transform(
+        F.sequence(first, last),
+        lambda n: F.struct(n.alias("round"), F.greatest(served(n - 1), F.col("begin")).alias("low"), F.least(served(n), end).alias("high")),
+    )
+    # Smaller ones: a token at a time, in the round in which the quanta first add up to it.
+    by_token = F.transform(
+        F.sequence(F.col("begin"), end - 1),
+        lambda t: F.struct(F.ceil((t + 1) / F.col("quantum")).cast("long").alias("round"), t.alias("low"), (t + 1).alias("high")),
+    )
+    return F.filter(F.when(F.col("quantum") >= 1, by_round).otherwise(by_token), lambda x: x["low"] < x["high"])
+
+
+def pieces(documents: DataFrame, window=WINDOW, targets=None, block_rows=BLOCK_ROWS):
     """``row_id, start, length, sequence_id, offset`` for ``documents`` (``row_id, doc_id, queue, tokens``)."""
-    placed = queue_places(documents, block_rows).join(materialized(quanta(documents, window, targets)), "queue")
-    last = F.expr(f"(begin + tokens - 1) div {packet}")
-    cut = placed.select("row_id", "queue", "tokens", "begin", "quantum", F.explode(F.sequence(F.expr(f"begin div {packet}"), last)).alias("nth"))
-    low = F.greatest(F.col("nth") * packet, "begin")
-    high = F.least((F.col("nth") + 1) * packet, F.col("begin") + F.col("tokens"))
-    served = F.ceil((F.col("nth") + 1) * packet / F.col("quantum")).cast("long")
+    served = materialized(quanta(documents, window, targets))
+    queues = max(1, served.count())
+    placed = queue_places(documents, block_rows).join(served, "queue")
+    cut = placed.select("row_id", "queue", "begin", F.inline(_runs()))
     parts = materialized(
-        cut.select("row_id", "queue", low.alias("low"), (low - F.col("begin")).alias("start"), (high - low).alias("length"), served.alias("round"))
+        cut.select("row_id", "queue", "low", (F.col("low") - F.col("begin")).alias("start"), (F.col("high") - F.col("low")).alias("length"), "round")
     )
-    # A block is a run of rounds; a round serves a window's worth at most, besides one packet a source.
-    rounds = max(1, block_rows * packet // (2 * window))
+    # A block is a run of rounds; a round has a stretch a source, and one more for each document that ends in it.
+    rounds = max(1, block_rows // (2 * min(queues, window)))
     blocked = parts.withColumn("block", F.expr(f"round div {rounds}L"))
     totals = blocked.groupBy("block").agg(F.sum("length").alias("amount"))
     order = Window.partitionBy("block").orderBy("round", "queue", "low").rowsBetween(Window.unboundedPreceding, -1)
     inside = blocked.withColumn("inside", F.coalesce(F.sum("length").over(order), F.lit(0)))
     told = inside.join(_offsets(totals, [], "block", "amount"), "block").withColumn("at", F.col("before") + F.col("inside"))
-    # A packet can cross one window's end or more.
+    # A stretch can cross one window's end or more.
     split = told.select("row_id", "start", "length", "at", F.explode(F.expr(f"sequence(at div {window}, (at + length - 1) div {window})")).alias("sequence_id"))
     begins = F.greatest(F.col("sequence_id") * window, "at")
     ends = F.least((F.col("sequence_id") + 1) * window, F.col("at") + F.col("length"))
@@ -137,21 +156,22 @@ def pieces(documents: DataFrame, window=WINDOW, packet=PACKET, targets=None, blo
     )
 
 
-def pack(docs: DataFrame, window=WINDOW, packet=PACKET, targets=None, path=None, text="text", doc_id="doc_id", source="source", block_rows=BLOCK_ROWS):
+def pack(docs: DataFrame, window=WINDOW, targets=None, path=None, text="text", doc_id="doc_id", source="source", block_rows=BLOCK_ROWS):
     """Sequences of at most ``window`` tokens, one row per piece of a document.
 
     Returns ``row_id, doc_id, source, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset``:
     ``ids`` are little-endian 16-bit ids. Each id, and the separator after each document, lies in
     exactly one piece; a sequence's pieces have no gaps; all sequences but the last are full. A null
-    or empty text is its separator alone. A null source is a queue of its own. Repeated rows are each
-    packed. An empty table gives no pieces.
+    or empty text is its separator alone. A null source is a queue of its own. A row without id has a
+    place in its queue by its row number. Repeated rows are each packed. A very long text is cut like any
+    other. An empty table gives no pieces. Only the named columns are read, under names of their own.
     """
     written = token_table(docs, path, text, doc_id, source)
     queue = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     named = {f"={k}" if k is not None else "": v for k, v in (targets or {}).items()}
     listed = written.select("row_id", "doc_id", queue.alias("queue"), "tokens")
     piece = F.struct("start", "length", "sequence_id", "offset")
-    cut = pieces(listed, window, packet, named, block_rows).groupBy("row_id").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+    cut = pieces(listed, window, named, block_rows).groupBy("row_id").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
     met = written.join(cut, "row_id")
 
     def lay(batches):
