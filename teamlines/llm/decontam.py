@@ -7,6 +7,9 @@ are cut into segments so that each window lies in one. The shared q-grams of a d
 segment are counted in overlapping bands of diagonals, the bands with enough of them for one window
 are retained, and a banded alignment of every window of the segment confirms them.
 
+Items too short for shared q-grams to tell (under ``LEAST_CHARS``) are searched as they are: the whole
+item without edits, where no word goes on beyond its ends.
+
 The benchmark is a query set: it is cut into blocks of bounded size by a hash of the item, and each
 block is compared with all documents in one scan that shuffles nothing.
 """
@@ -18,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import numbered, rows_of, with_row_id
+from teamlines.llm.common import drop_rows, numbered, rows_of
 from teamlines.llm.shingles import mix
 
 Q = 10
 WINDOW = 80  # characters, about thirteen words
-STRIDE = 1  # a window at every character: any 80 of an item are one
 EDITS = 0.075  # of a window's characters
-LEAST_CHARS = 24  # shorter items are no evidence inside a text; they match only a document that is equal to them
+LEAST_CHARS = 24  # shorter items allow no edits and are searched whole
 STARTS = 81  # windows of one segment
 SPAN = WINDOW + STARTS - 1  # characters of a segment
 BAND = 8  # no smaller than the most edits; bands are twice as wide and overlap by half
@@ -67,12 +69,12 @@ class Index:
     """The q-grams of the segments of some items."""
 
     def __init__(self, items):
-        self.items, self.segments, self.owner, self.equal = [], [], [], {}
+        self.items, self.segments, self.owner, short = [], [], [], {}
         for item_id, text in items:
             plain = normalise(text)
             if len(plain) < LEAST_CHARS:
-                if plain:
-                    self.equal.setdefault(plain, []).append(item_id)
+                if any(c.isalnum() for c in plain):
+                    short.setdefault(len(plain), {}).setdefault(plain, []).append(item_id)
                 continue
             values = codes(plain)
             for start in range(0, max(1, len(values) - WINDOW + 1), STARTS):
@@ -80,6 +82,7 @@ class Index:
                 self.owner.append(len(self.items))
             self.items.append(item_id)
         self.owner = np.array(self.owner, np.int64)
+        self.short = {n: (np.unique(np.concatenate([grams(codes(t), n) for t in told])), told) for n, told in short.items()}
         hashes = [grams(s) for s in self.segments]
         count = np.array([len(h) for h in hashes], np.int64)
         flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
@@ -160,6 +163,31 @@ def aligned(index, values, segment, band):
     return edits, ends
 
 
+def _word_bounds(values):
+    """At each place between characters, ends included, whether no word goes on across it."""
+    distinct, where = np.unique(values, return_inverse=True)
+    word = np.array([c < _NONE and chr(c).isalnum() for c in distinct.tolist()], bool)[where]
+    inside = np.zeros(len(values) + 1, bool)
+    inside[1:-1] = word[1:] & word[:-1]
+    return ~inside
+
+
+def short_matches(index, plain, begins, values):
+    """``(text number, item id, 1, 0, start, end)`` of the short items that stand whole in the texts of a chunk."""
+    if not index.short:
+        return []
+    bound, begun, found = _word_bounds(values), np.array([b for _, b in begins]), {}
+    for n, (hashes, told) in index.short.items():
+        at = np.flatnonzero(bound[: len(bound) - n] & bound[n:])
+        at = at[np.isin(grams(values, n)[at], hashes)]
+        for place, k in zip(at.tolist(), (np.searchsorted(begun, at, "right") - 1).tolist()):
+            i, start = begins[k][0], place - begins[k][1]
+            for item in told.get(plain[i][start : start + n], ()):
+                low, high = found.get((i, item), (start, start + n))
+                found[i, item] = (min(low, start), max(high, start + n))
+    return [(i, item, 1, 0, low, high) for (i, item), (low, high) in found.items()]
+
+
 def _chunks(texts):
     """Runs of normalised texts with their codes, in a row, far enough apart that no band holds two."""
     gap = np.full(2 * SPAN, _NONE, np.uint32)
@@ -179,10 +207,11 @@ def _chunks(texts):
 def matches_in(index, texts):
     """``(text number, item id, windows, least edits, start, end)`` of each text and item that match."""
     plain = [normalise(t) for t in texts]
-    out = [(i, item, 1, 0, 0, len(t)) for i, t in enumerate(plain) for item in index.equal.get(t, ())]
-    if not index.segments:
-        return out
+    out = []
     for begins, values in _chunks(plain):
+        out += short_matches(index, plain, begins, values)
+        if not index.segments:
+            continue
         segment, band = retained(index, values)
         held = [np.empty((0, 4), np.int64)]
         for begin in range(0, len(segment), 8 * ALIGNED):
@@ -213,8 +242,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text="text", doc_id="doc_id", i
     """``row_id, doc_id, item_id, windows, edits, start, end``: one row per document and benchmark item found in it.
 
     ``windows`` of the item match, the best with ``edits``; ``start`` and ``end`` bound them in the
-    normalised text. Null and empty texts and items match nothing. Repeated documents and items each
-    give their rows; items that repeat in id and text count once. Very long texts are read whole.
+    normalised text. An item of under ``LEAST_CHARS`` is one window. Null and empty texts and items match
+    nothing, nor do items without a letter or digit. Repeated documents and items each give their rows,
+    in no order among equal matches; items that repeat in id and text count once. Very long texts are
+    read whole. An empty table of either kind gives no rows. Only the named columns are read, under
+    names of their own.
     """
     rows = rows_of(docs, doc_id=doc_id, text=text)
     items = benchmark.select(benchmark[item_id].alias("item_id"), benchmark[item_text].alias("text")).where("text IS NOT NULL").distinct()
@@ -251,6 +283,4 @@ def _against(rows, items, schema):
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **settings):
     """``docs`` without the rows in which a benchmark item is found; all columns stay."""
     docs = numbered(docs)
-    tagged, name = with_row_id(docs)
-    found = leaks(docs, benchmark, **settings).select(F.col("row_id").alias(name)).distinct()
-    return tagged.join(found, name, "left_anti").select(*[tagged[c] for c in docs.columns])
+    return drop_rows(docs, leaks(docs, benchmark, **settings))

@@ -1,6 +1,7 @@
 """Benchmark matches against an edit distance over all places."""
 
 import random
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -34,21 +35,70 @@ def fewest_edits(pattern, text):
     return int(row.min())
 
 
+def allowed(w):
+    """Edits in ``w`` characters: 7.5 %, fewer where that leaves no run of ten between them."""
+    return max(0, min(int(0.075 * w), w // 10 - 1))
+
+
+def stands_whole(want, plain):
+    """Whether ``want`` is in ``plain`` with no word going on beyond its ends."""
+    at = plain.find(want)
+    while at >= 0:
+        edges = ((at - 1, at), (at + len(want) - 1, at + len(want)))
+        if not any(0 <= i and j < len(plain) and plain[i].isalnum() and plain[j].isalnum() for i, j in edges):
+            return True
+        at = plain.find(want, at + 1)
+    return False
+
+
+@lru_cache(maxsize=8)
+def runs_of(plain, run):
+    """Where each stretch of ``run`` characters begins."""
+    places = {}
+    for t in range(len(plain) - run + 1):
+        places.setdefault(plain[t : t + run], []).append(t)
+    return places
+
+
+def leaked(want, plain):
+    """Whether 80 characters of ``want`` (all, if shorter) lie in ``plain`` with the edits allowed.
+
+    Of ``e + 1`` disjoint parts of a window, ``e`` edits leave one as it is: only starts near a shared run of
+    that length are aligned, with the text around it.
+    """
+    if len(want) < 24:
+        return any(c.isalnum() for c in want) and stands_whole(want, plain)
+    w = min(80, len(want))
+    e = allowed(w)
+    run = w // (e + 1)
+    places, tried = runs_of(plain, run), set()
+    for p in range(len(want) - run + 1):
+        for t in places.get(want[p : p + run], ()):
+            for s in range(max(0, p + run - w), min(p, len(want) - w) + 1):
+                low = t - (p - s) - e
+                if (s, low) not in tried:
+                    tried.add((s, low))
+                    if fewest_edits(want[s : s + w], plain[max(0, low) : low + w + 2 * e]) <= e:
+                        return True
+    return False
+
+
 def brute(rows, items):
-    out = set()
-    for n, (_, text) in enumerate(rows):
-        plain = decontam.normalise(text)
-        for item_id, item in items:
-            want = decontam.normalise(item)
-            if len(want) < decontam.LEAST_CHARS:
-                if want and want == plain:
-                    out.add((n, item_id))
-                continue
-            w = min(decontam.WINDOW, len(want))
-            starts = {*range(0, len(want) - w + 1, decontam.STRIDE), len(want) - w}
-            if any(fewest_edits(want[s : s + w], plain) <= decontam.edit_budget(w) for s in starts):
-                out.add((n, item_id))
-    return out
+    wanted = [(i, decontam.normalise(t)) for i, t in items]
+    plain = [decontam.normalise(t) for _, t in rows]
+    return {(n, i) for n, text in enumerate(plain) for i, want in wanted if want and leaked(want, text)}
+
+
+def test_short_cut_of_the_brute_force():
+    """The shared run loses nothing against all starts at all places."""
+    rng = random.Random(3)
+    for trial in range(60):
+        item = decontam.normalise(prose(30, trial))[: rng.choice([24, 40, 79, 80, 95])].strip().ljust(24, "x")
+        part = item[rng.randint(0, max(0, len(item) - 80)) :][:80]
+        text = decontam.normalise(prose(6, trial + 50) + damaged(part, rng.randint(0, 9), rng) + prose(6, trial + 90))
+        w = min(80, len(item))
+        plain = any(fewest_edits(item[s : s + w], text) <= allowed(w) for s in range(len(item) - w + 1))
+        assert leaked(item, text) == plain
 
 
 def damaged(text, edits, rng):
@@ -68,7 +118,7 @@ def damaged(text, edits, rng):
 def corpus():
     rng = random.Random(8)
     items = [(i, prose(rng.randint(6, 60), i)) for i in range(25)]
-    items += [(30, "short"), (31, ""), (32, None), (33, "x" * 24), (34, items[0][1]), (35, "ab " * 200), (36, "short"), (0, items[0][1])]
+    items += [(30, "short"), (31, ""), (32, None), (33, "x" * 24), (34, items[0][1]), (35, "ab " * 200), (36, "short"), (37, "?!"), (38, "q"), (39, "twenty-one characters"), (0, items[0][1])]
     rows = []
     for i in range(80):
         text = prose(rng.randint(0, 150), 1000 + i)
@@ -80,6 +130,7 @@ def corpus():
             text = text[:at] + (" " if i % 3 else "") + part.upper() + "\n\t " + text[at:]
         rows.append((i, text))
     rows += [(200, None), (201, ""), (202, "Short "), (203, "a short one"), (204, "y" * 10 + "x" * 40), (205, "AB\n" * 100), rows[1], rows[1]]
+    rows += [(208, "a short, SHORT story"), (209, "shorter"), (210, "in\tshort."), (211, "x" * 24 + "-short")]
     rows += [(None, "pre " + items[3][1]), (206, prose(2_500, 5) + items[4][1][:100] + prose(100, 6)), (207, items[5][1])]
     return rows, items
 
@@ -148,3 +199,14 @@ def test_windows_counted_once():
     item = decontam.normalise(prose(90, 78))[:300].strip()
     (found,) = decontam.matches_in(decontam.Index([(1, item)]), ["Ø" * 40 + item])
     assert found[2:] == (len(item) - 80 + 1, 0, 40, 40 + len(item))
+
+
+@pytest.mark.parametrize("item", ["a", "42", "forty two", "What is 6 x 7?", "twenty-one characters", "x" * 23])
+def test_short_items_stand_whole(item):
+    index = decontam.Index([(1, item)])
+    plain = decontam.normalise(item)
+    inside = [f"Ø {item}", f"{item.upper()}\n\tø", f"ø ({item}) ø", item, f"ø {item}{item} {item}"]
+    outside = [f"ø{item}" if plain[0].isalnum() else "ø", "", f"Ø {plain[:-1]}~" if len(plain) > 1 else "ø", None]
+    assert {n for n, *_ in decontam.matches_in(index, inside + outside)} == set(range(5))
+    (found,) = decontam.matches_in(index, [f"Ø {item}, {item}"])
+    assert found == (0, 1, 1, 0, 2, 4 + 2 * len(plain))
