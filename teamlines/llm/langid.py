@@ -2,7 +2,7 @@
 
 Bytes are embedded, filters of several widths slide over windows of a fixed length, each filter's
 largest response in a window is kept, and a softmax names the language. The network is trained in
-numpy on a bounded sample of labelled text. Whole texts are predicted: neighbouring windows overlap
+numpy on all windows of a bounded sample of labelled texts. Whole texts are predicted: neighbouring windows overlap
 by the widest filter less one byte, so no run of bytes is cut, and the windows' probabilities are
 averaged by their length.
 """
@@ -13,16 +13,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from teamlines.llm.common import rows_of
+from teamlines.llm.common import numbered, rows_of
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-SAMPLE = 400  # documents a language that training takes, by hash of the id; fewer are all taken
-SNIPPET = 512  # characters of each of them, from a place that the id fixes
-EPOCHS = 6
+SAMPLE = 250  # documents a language that training takes, by hash of the row; fewer are all taken. Each is read whole
+LANGUAGES = 256  # that are learned: the most frequent ones
+EPOCHS = 3
+LEAST_STEPS = 600  # of training; few windows are gone through more often
 AT_ONCE = 512
 SEED = 7
 UNKNOWN = "und"
@@ -73,7 +75,7 @@ def windows_of(data: bytes, size=WINDOW):
     return np.lib.stride_tricks.sliding_window_view(padded, size)[::step]
 
 
-def train(texts, labels, epochs=EPOCHS, seed=SEED, rate=0.01, batch=64):
+def train(texts, labels, epochs=EPOCHS, seed=SEED, rate=0.01, batch=64, steps=LEAST_STEPS):
     """A :class:`Network` from texts and their languages, by Adam on the cross entropy."""
     languages = sorted(set(labels))
     pieces = [windows_of(t.encode()) for t in texts]
@@ -88,7 +90,7 @@ def train(texts, labels, epochs=EPOCHS, seed=SEED, rate=0.01, batch=64):
     held = [net.embedding, *net.filters, *net.biases, net.dense, net.shift]
     speed, power = [np.zeros_like(p) for p in held], [np.zeros_like(p) for p in held]
     turn = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps // -(-len(x) // batch)))):
         order = rng.permutation(len(x))
         for begin in range(0, len(x), batch):
             turn += 1
@@ -148,36 +150,38 @@ def predict(net, texts):
     return [(net.languages[int(t.argmax())], float(t.max() / t.sum())) for t in total]
 
 
-def sample_of(labelled: DataFrame, sample=SAMPLE, snippet=SNIPPET):
-    """About ``sample`` rows of each language (all, if there are fewer), ``lang, snippet``, in a fixed order.
+def sample_of(labelled: DataFrame, sample=SAMPLE, most=LANGUAGES):
+    """``lang, text`` of the first ``sample`` rows of each language by a hash of the row, all if there are fewer.
 
-    Rows are counted per language first; these counts are as few as the network has outputs, so each
-    task picks its rows by them and only the snippets picked leave it.
+    ``labelled`` has ``row_id, lang, text``. Languages beyond the ``most`` frequent ones are left out, so at most
+    ``most * sample`` whole texts leave the tasks. Only languages and row numbers are shuffled, and Spark limits
+    these per language before it does. Rows that repeat have numbers of their own, so equal rows are sampled like others.
     """
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    if not sizes:
-        return []
-    size = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["n"])])[F.col("lang")]
-    mixed = F.xxhash64("doc_id", F.length("text"))
-    at = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.greatest(F.length("text") - snippet, F.lit(1))).cast("int") + 1
-    chosen = labelled.where(F.pmod(mixed, F.lit(1 << 20)) * size < F.lit(sample << 20))
-    rows = chosen.select("lang", "doc_id", F.substring("text", at, F.lit(snippet)).alias("snippet")).collect()
-    return sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["snippet"]))
+    named = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).select("lang")
+    mixed = Window.partitionBy("lang").orderBy(F.xxhash64("row_id"), "row_id")
+    first = labelled.select("lang", "row_id").withColumn("nth", F.row_number().over(mixed)).where(F.col("nth") <= sample)
+    chosen = first.join(F.broadcast(named), "lang", "left_semi").select("row_id")  # at most sample * most rows
+    rows = labelled.join(F.broadcast(chosen), "row_id", "left_semi").select("lang", "row_id", "text").collect()
+    return sorted(rows, key=lambda r: (r["lang"], r["row_id"]))
 
 
 def languages(docs: DataFrame, text="text", lang="lang", doc_id="doc_id", sample=SAMPLE, **settings):
     """``row_id, doc_id, held_out, lang_pred, score`` of every row.
 
-    The network learns only from documents with a language whose ``crc32(id) mod 4`` isn't 2. A text
-    that is null or has no letter is ``und`` with score 0, and so is every text if nothing was learned.
-    Equal texts get equal results.
+    The network learns only from documents with a language whose ``crc32(id) mod 4`` isn't 2, from at most
+    ``sample`` of each of the ``LANGUAGES`` most frequent languages, which are read whole. A text that is null or
+    has no letter is ``und`` with score 0, and so is every text if nothing was learned. Languages that tie go to the
+    first by name. Equal texts, repeated rows among them, get equal results; rows without id are held out of
+    learning but named. Very long texts are named by all their windows. An empty table gives no rows. Only the named
+    columns are read, under names of their own.
     """
+    docs = numbered(docs)
     rows = rows_of(docs, doc_id=doc_id, text=text, lang=lang)
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    known = rows.where(~held & letter & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang")
+    known = rows.where(~held & letter & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("row_id", "text", "lang")
     taken = sample_of(known, sample)
-    net = train([r["snippet"] for r in taken], [r["lang"] for r in taken], **settings) if taken else None
+    net = train([r["text"] for r in taken], [r["lang"] for r in taken], **settings) if taken else None
 
     def name(batches):
         for batch in batches:

@@ -125,7 +125,7 @@ def test_held_out_languages_change_nothing(spark):
 def test_gradients_equal_differences():
     rng = np.random.default_rng(3)
     x, y = rng.integers(1, 40, (6, 20)).astype(np.uint8), rng.integers(0, 3, 6)
-    net = langid.train(["abc def", "ghi jkl", "mno"], ["a", "b", "c"], epochs=1)
+    net = langid.train(["abc def", "ghi jkl", "mno"], ["a", "b", "c"], epochs=1, steps=1)
     for name in ("embedding", "dense", "shift"):
         setattr(net, name, getattr(net, name).astype(np.float64))
     net.filters, net.biases = [w.astype(np.float64) for w in net.filters], [b.astype(np.float64) for b in net.biases]
@@ -154,3 +154,48 @@ def test_windows_cover_every_byte():
         back = b"".join(bytes(w[:step]) for w in found[:-1]) + bytes(found[-1])
         assert back[:n] == data and not back[n:].strip(b"\0")
         assert len(found) == 1 or found[-1][max(langid.WIDTHS) - 1 :].any()
+
+
+def plain_prediction(net, text):
+    """Language and share by single windows, places and filters."""
+    data, size = text.encode(), langid.WINDOW
+    step, total = size - max(langid.WIDTHS) + 1, np.zeros(len(net.languages))
+    begin = 0
+    while True:
+        window = list(data[begin : begin + size]) + [0] * max(0, size - len(data) + begin)
+        pooled = []
+        for weights, bias, width in zip(net.filters, net.biases, langid.WIDTHS):
+            for f in range(weights.shape[1]):
+                best = max(
+                    sum(float(net.embedding[window[i + j]] @ weights[j * langid.EMBEDDING : (j + 1) * langid.EMBEDDING, f]) for j in range(width))
+                    for i in range(size - width + 1)
+                )
+                pooled.append(max(best + float(bias[f]), 0))
+        logits = np.array(pooled) @ net.dense.astype(float) + net.shift
+        share = np.exp(logits - logits.max())
+        total += share / share.sum()
+        begin += step
+        if begin + max(langid.WIDTHS) - 1 >= len(data):
+            break
+    return net.languages[int(np.argmax(total))], total.max() / total.sum()
+
+
+def test_predictions_equal_a_plain_network():
+    texts = ["the cat sat on the mat " * 12, "der Hund und die Katze " * 12, "le chat noir est là " * 12]
+    net = langid.train(texts, ["en", "de", "fr"], epochs=4)
+    asked = [t[:n] for t in texts for n in (1, 5, 128, 200)] + ["ünïcödé \U0001f600"]
+    for text, (name, share) in zip(asked, langid.predict(net, asked)):
+        want = plain_prediction(net, text)
+        assert name == want[0] and share == pytest.approx(want[1], abs=1e-4)
+
+
+def test_repeated_rows_are_sampled_like_others(spark, written):
+    rows = [(5_000, "immer die gleiche Zeile " * 3, "de")] * 3_000 + [(i, f"some line of words {i}", "en") for i in range(100)] + [(i, f"quelques mots {i}", "fr") for i in range(3)]
+    docs = table(written, rows)
+    known = langid.rows_of(docs, doc_id="doc_id", text="text", lang="lang").select("row_id", "text", "lang")
+    taken = langid.sample_of(known, 40)
+    assert {v: sum(r.lang == v for r in taken) for v in ("de", "en", "fr")} == {"de": 40, "en": 40, "fr": 3}
+    assert all(r.text in {t for _, t, _ in rows} for r in taken)
+    assert {r.lang for r in langid.sample_of(known, 40, most=2)} == {"de", "en"}
+    found = langid.languages(docs, sample=40).collect()
+    assert {r.lang_pred for r in found if r.doc_id == 5_000} == {"de"}
