@@ -11,6 +11,9 @@ from teamlines.session import materialized
 
 ROOT = str(Path(__file__).resolve().parents[2])
 ROW_BITS = 40  # of a row number, for the place in a file
+MOST_FILES = 100_000  # whose list is broadcast; more are joined by a shuffle
+BUCKET_BITS = 15  # row numbers of one bitmap, which takes 4 KB
+MOST_BUCKETS = 8_192  # bitmaps that are broadcast, 32 MB; more rows are joined by a shuffle
 SLASHES = "^([A-Za-z0-9+.-]+):/+"
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -63,7 +66,7 @@ def _with_number(df: DataFrame, columns, name):
     found = df.select(*columns, F.regexp_replace(meta["file_path"], SLASHES, "$1:/").alias(path), meta["row_index"].alias(at))
     listed = df.sparkSession.createDataFrame(files, f"`{path}` string, `{first}` long")
     unknown = F.raise_error(F.lit("a row of a file that wasn't listed")).cast("long")
-    found = found.join(F.broadcast(listed), path, "left")
+    found = found.join(F.broadcast(listed) if len(files) <= MOST_FILES else listed, path, "left")
     return found.withColumn(name, F.coalesce(F.col(first), unknown) + F.col(at)).drop(path, first, at)
 
 
@@ -92,11 +95,34 @@ def rows_of(df: DataFrame, **columns):
     return _with_number(df, picked, "row_id")
 
 
-def keep_rows(df: DataFrame, wanted: DataFrame):
-    """The rows of ``df`` whose number is in ``wanted.row_id``, with the columns of ``df`` only."""
+def _picked(df: DataFrame, rows: DataFrame, keep, most):
+    """The rows of ``df`` whose number is, or isn't, in ``rows.row_id``.
+
+    The numbers become bitmaps, one for each run of numbers. As long as these are few, they are broadcast and
+    the rows of ``df`` stay where they are; else rows and numbers meet by a shuffle.
+    """
     tagged, name = with_row_id(df)
-    kept = wanted.select(F.col("row_id").alias(name))
-    return tagged.join(kept, name, "left_semi").select(*[tagged[c] for c in df.columns])
+    back = [tagged[c] for c in df.columns]
+    low = (1 << BUCKET_BITS) - 1
+    bucket, bits = (fresh_name([*df.columns, name], x) for x in ("bucket", "bits"))
+    maps = rows.groupBy(F.shiftright("row_id", BUCKET_BITS).alias(bucket)).agg(F.bitmap_construct_agg(F.col("row_id").bitwiseAND(low)).alias(bits))
+    maps = materialized(maps)
+    if maps.count() > most:
+        numbers = rows.select(F.col("row_id").alias(name))
+        return tagged.join(numbers, name, "left_semi" if keep else "left_anti").select(*back)
+    listed = F.coalesce(F.expr(f"shiftright(int(conv(hex(substring(`{bits}`, int(shiftright(`{name}` & {low}, 3)) + 1, 1)), 16, 10)), int(`{name}` & 7)) & 1"), F.lit(0)) == 1
+    met = tagged.join(F.broadcast(maps), F.shiftright(name, BUCKET_BITS) == maps[bucket], "left")
+    return met.where(listed if keep else ~listed).select(*back)
+
+
+def keep_rows(df: DataFrame, wanted: DataFrame, most=MOST_BUCKETS):
+    """The rows of ``df`` whose number is in ``wanted.row_id``, with the columns of ``df`` only."""
+    return _picked(df, wanted, True, most)
+
+
+def drop_rows(df: DataFrame, unwanted: DataFrame, most=MOST_BUCKETS):
+    """The rows of ``df`` whose number isn't in ``unwanted.row_id``, with the columns of ``df`` only."""
+    return _picked(df, unwanted, False, most)
 
 
 def ids_first(doc_id="doc_id", row_id="row_id"):

@@ -3,27 +3,32 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from teamlines.llm.ordering import join_counted
 from teamlines.session import materialized
 
 
 def components(links: DataFrame):
     """``row_id, label`` of every row in ``links (a, b)``; the label is the smallest row of its component.
 
-    Labels are written after each round, so no lineage grows and a lost executor costs one round.
+    Labels are written after each round, so no lineage grows and a lost executor costs one round. A row
+    with very many links, and the label of a very large component, are joined as counted keys.
     """
     both = materialized(links.select("a", "b").union(links.select("b", "a")).distinct())
+    degrees = materialized(both.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("often")))
     labels = materialized(
         both.groupBy(F.col("a").alias("row_id")).agg(F.min("b").alias("near")).select("row_id", F.least("row_id", "near").alias("label"))
     )
     while True:
-        near = both.join(labels.withColumnsRenamed({"row_id": "b", "label": "l"}), "b").groupBy("a").agg(F.min("l").alias("near"))
+        known = materialized(labels.withColumnsRenamed({"row_id": "b", "label": "l"}).join(degrees, "b"))
+        near = join_counted(both, known, ["b"], "often").groupBy("a").agg(F.min("l").alias("near"))
         spread = materialized(
             labels.join(near.withColumnRenamed("a", "row_id"), "row_id")
             .select("row_id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         )
-        ahead = spread.select(F.col("row_id").alias("label"), F.col("label").alias("next"))
+        sizes = spread.groupBy("label").agg(F.count("*").alias("often"))
+        ahead = materialized(spread.select(F.col("row_id").alias("label"), F.col("label").alias("next")).join(sizes, "label"))
         moved = materialized(
-            spread.join(ahead, "label").select("row_id", F.least("label", "next").alias("label"), "old")
+            join_counted(spread, ahead, ["label"], "often").select("row_id", F.least("label", "next").alias("label"), "old")
         )
         if moved.where("label <> old").isEmpty():
             return moved.select("row_id", "label")

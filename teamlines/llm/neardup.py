@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from teamlines.llm.common import ids_first, keep_rows, numbered, rows_of
 from teamlines.llm.components import components
+from teamlines.llm.ordering import join_counted
 from teamlines.llm.shingles import digest, shingle_sets
 from teamlines.session import materialized
 
@@ -72,7 +73,7 @@ def sketch_rows(docs: DataFrame, width, k, text="text", doc_id="doc_id"):
 def _lists(values: DataFrame):
     """Of ``row_id, n, value`` the rows whose value others have too, with the length of the list and a centre."""
     shared = values.groupBy("value").agg(F.count("*").alias("length"), F.min("row_id").alias("centre")).where("length > 1")
-    return materialized(values.join(shared, "value"))
+    return materialized(join_counted(values, materialized(shared.withColumn("often", F.col("length"))), ["value"], "often"))
 
 
 def _pairs(lists: DataFrame, percent, short):
@@ -196,7 +197,7 @@ def _rest_blocks(rest: DataFrame):
     whole = sizes.groupBy("value").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("length"))
     outside = sizes.join(whole, "value").where("label <> most.label").groupBy("value", "length", F.col("most.label").alias("most"))
     plan = materialized(outside.agg(F.expr(f"1 + sum(weight) div {CENTRE_VALUES}").alias("parts")))
-    planned = rest.join(plan, "value").withColumn("salts", F.expr(f"1 + length div {PER_BLOCK}"))
+    planned = join_counted(rest, plan.withColumn("often", F.col("length")), ["value"], "often").withColumn("salts", F.expr(f"1 + length div {PER_BLOCK}"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     centres = planned.where("label <> most").select("value", F.expr("pmod(xxhash64(row_id), parts)").alias("y"), "salts", "row_id")
     centres = centres.select(F.col("value").alias("x"), "y", every("salts").alias("z"), "row_id", F.lit(False).alias("other"))
@@ -207,9 +208,9 @@ def _rest_blocks(rest: DataFrame):
 def _open(lists: DataFrame, labels: DataFrame, short):
     """The rows of long lists that hold several components, with their ``label``."""
     long = lists.where(F.col("length") > short).select("value", "row_id", "n")
-    named = long.join(labels, "row_id", "left").withColumn("label", F.coalesce("label", "row_id"))
-    many = named.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return materialized(named.join(many.select("value"), "value", "left_semi"))
+    named = materialized(long.join(labels, "row_id", "left").withColumn("label", F.coalesce("label", "row_id")))
+    many = named.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("often")).where("low < high")
+    return materialized(join_counted(named, materialized(many.select("value", "often")), ["value"], "often"))
 
 
 def _rare_first(rows: DataFrame, width, percent):
@@ -262,19 +263,21 @@ def near_duplicates(docs: DataFrame, width=WIDTH, percent=PERCENT, k=RETAINED, s
     ``component_id`` is the smallest id that links reach, the row's own if there are none;
     ``keep_row`` is the row that stays, of rows with equal ids exactly one. Texts without words
     (null, empty, white space) have no shingles and no links. Rows without an id are compared
-    like others but give no id.
+    like others but give no id. Repeated rows are one class, in which the first stays; ids that tie go
+    by row. Very long texts are compared as whole sets. An empty table gives no rows. Only the named
+    columns are read, under names of their own.
     """
     docs = numbered(docs)
     rows = materialized(sketch_rows(docs, width, k, text, doc_id))
     full = rows.where("n > 0")
-    classes = materialized(full.groupBy("digest").agg(F.min("row_id").alias("chosen")))
+    classes = materialized(full.groupBy("digest").agg(F.min("row_id").alias("chosen"), F.count("*").alias("often")))
     sketches = full.join(classes.select(F.col("chosen").alias("row_id")), "row_id", "left_semi").select("row_id", "n", "sketch")
     labels = linked_rows(docs, materialized(sketches), width, percent, k, short, text)
-    named = full.select("row_id", "doc_id", "digest").join(classes, "digest")
-    named = named.join(labels.withColumnRenamed("row_id", "chosen"), "chosen", "left")
-    member = materialized(named.select("row_id", "doc_id", F.coalesce("label", "chosen").alias("label")))
-    first = materialized(member.groupBy("label").agg(F.min(ids_first()).alias("first")))
-    told = member.join(first, "label").select("row_id", "first")
+    named = classes.join(labels.withColumnRenamed("row_id", "chosen"), "chosen", "left")
+    named = materialized(named.select("digest", F.coalesce("label", "chosen").alias("label"), "often"))
+    member = materialized(join_counted(full.select("row_id", "doc_id", "digest"), named, ["digest"], "often").select("row_id", "doc_id", "label"))
+    first = materialized(member.groupBy("label").agg(F.min(ids_first()).alias("first"), F.count("*").alias("often")))
+    told = join_counted(member, first, ["label"], "often").select("row_id", "first")
     told = rows.select("row_id", "doc_id", "n").join(told, "row_id", "left")
     return told.select(
         "row_id",
