@@ -35,7 +35,8 @@ def duplicate_groups(docs: DataFrame, salts=16, digest=sha256, text="text", doc_
 
     Returns ``row_id, doc_id, keep_id, keep_row, group_size, kept, text_sha256``, one row per
     row of ``docs``. The row with the smallest id stays; rows without an id come last, and of
-    rows that repeat an id exactly one stays. An empty table gives an empty result.
+    rows that repeat an id exactly one stays. Very long texts are compared whole. An empty table gives
+    an empty result. Only the named columns are read, under names of their own.
     """
     rows = rows_of(numbered(docs), doc_id=doc_id, text=text)
     keyed = rows.select("row_id", "doc_id", normalised(F.col("text")).alias("content"))

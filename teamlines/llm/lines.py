@@ -47,7 +47,8 @@ def remove_boilerplate(docs: DataFrame, text="text", site="source", doc_id="doc_
 
     Lines compare without the spaces around them; blank lines stay. A null text is empty and
     has one blank line. Lines that stay keep their order and their own spaces. Repeated rows
-    each get a result.
+    each get a result; sites that tie count once. Very long texts are split whole. An empty table gives no
+    rows. Only the named columns are read, under names of their own.
     """
     docs = numbered(docs)
     lines = document_lines(docs, text, site)

@@ -207,7 +207,9 @@ def scores(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id", lab
 
     Labels are learned only from documents whose ``crc32(id) mod 5`` isn't 0; a label of null is
     left out, several labels of an id all count. Without any label each score is 0.5. Null and empty
-    texts have statistics of 0 and are scored like others. Equal texts get equal scores.
+    texts have statistics of 0 and are scored like others. Equal texts, repeated rows among them, get equal
+    scores. Very long texts are measured whole. An empty table gives no rows. Only the named columns are read,
+    under names of their own.
     """
     stats = statistics_table(docs, text, doc_id)
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
