@@ -19,14 +19,17 @@ LINES = ["spread_line", "total_line"]
 
 
 def create_advanced_team_features(
-    df: DataFrame, opponent_as_of=False, corrected_efficiency=False, hot_rows=None
+    df: DataFrame, opponent_as_of=False, corrected_efficiency=False, hot_rows=None, rates=False
 ) -> DataFrame:
     """Rolling scoring, form, schedule strength, cover rate, clutch, blowouts and trends.
 
-    All history columns share one window per team, hence one shuffle and one sort.
+    All history columns share one window per team, hence one shuffle and one sort. With ``rates``
+    the frame already holds ``opp_win_pct``.
     """
     hot_rows = find_hot(df, hot_rows)
-    rows = r.opponent_win_rate(r.with_outcomes(df, corrected_efficiency), opponent_as_of)
+    rows = r.with_outcomes(df, corrected_efficiency)
+    if not rates:
+        rows = r.opponent_win_rate(rows, opponent_as_of)
     has_line = "spread_line" in df.columns
     measures = {**r.score_measures(), "diff": o.point_diff(), **r.flag_measures(rows.columns)}
     columns = r.mean_columns() + r.std_columns() + r.margin_columns() + r.form_columns()
@@ -47,7 +50,7 @@ def create_advanced_team_features(
     form = [f"form_ema_{round(d * 10)}" for d in w.DECAYS]
     cover = ["home_spread_cover", "ats_record_5", "ats_record_10"] if has_line else []
     return rows.select(
-        *df.columns, *scoring, "won", *form, "opp_win_pct", "sos_3", "sos_8", *cover,
+        *[c for c in df.columns if c != "opp_win_pct"], *scoring, "won", *form, "opp_win_pct", "sos_3", "sos_8", *cover,
         "margin", "close_game", "clutch_record", "blowout_win", "blowout_loss",
         "blowout_win_rate_8", "blowout_loss_rate_8", "off_efficiency", "def_efficiency",
         "off_efficiency_trend_5", "def_efficiency_trend_5",
@@ -89,9 +92,15 @@ def create_matchup_features(df: DataFrame, key="game") -> DataFrame:
     )
 
 
-def create_market_features(df: DataFrame, exact=True) -> DataFrame:
-    """Points and probabilities implied by the lines, after filling lines with medians."""
-    rows = fill_medians(df, LINES, exact=exact)
+def create_market_features(df: DataFrame, exact=True, fitted=None) -> DataFrame:
+    """Points and probabilities implied by the lines, after filling lines with medians.
+
+    ``fitted`` gives the medians of an earlier fit by column; otherwise they are the frame's own.
+    """
+    if fitted is None:
+        rows = fill_medians(df, LINES, exact=exact)
+    else:
+        rows = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fitted.get(c)).cast("double")) for c in LINES if c in df.columns})
     c, made = F.col, {}
     if set(LINES) <= set(df.columns):
         own, other = m.implied_points()
