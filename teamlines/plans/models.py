@@ -4,6 +4,7 @@ Every fit is a distributed Spark job over a vector frame; the driver holds only
 and metrics. Fitted models are pipelines of Spark ML stages, so they save and load.
 """
 
+import json
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 from teamlines.operators.evaluate import best_model, cv_summary, team_errors
 from teamlines.operators.splits import contiguous_folds, fold_rows, time_folds
+from teamlines.plans.boosting import PATIENCE, fit_poisson, fit_with_patience, patience_stop, staged_errors
 from teamlines.plans.encode import drop_inputs, encoding_stages
+from teamlines.plans.ledger import Ledger
 
 # Default settings, search ranges and blend weights.
 BOOSTED = dict(maxIter=1000, maxDepth=6, stepSize=0.03, subsamplingRate=0.9, featureSubsetStrategy="0.9")
@@ -47,11 +50,13 @@ MODEL_NAMES = ["base", "optimized", "forest", "stacking"]
 
 
 def boosted_trees(params=None, objective="squared", seed=42, validation=None):
-    """Boosted regression trees, or a Poisson regression for the count objective.
+    """Boosted regression trees; ``poisson_line`` is a Poisson regression, linear in the features.
 
-    ``validation`` names a boolean column whose rows decide when to stop adding trees.
+    ``validation`` names a boolean column whose rows decide, by Spark's tolerance, when to stop
+    adding trees; ``fit_with_patience`` is the rule by rounds without gain. Boosted trees for the
+    Poisson objective are fitted by ``fit_poisson``.
     """
-    if objective == "poisson":
+    if objective == "poisson_line":
         return GeneralizedLinearRegression(family="poisson", link="log", maxIter=25)
     if objective != "squared":
         raise ValueError(f"unknown objective {objective!r}")
@@ -131,26 +136,62 @@ def sample_params(trials: int, seed=42, space=None) -> list:
     return draws
 
 
-def random_search(train, valid, trials=N_TRIALS, seed=42, space=None, parallelism=4, objective="squared"):
+def _side_by_side(spark, work, items, parallelism):
+    """``work`` of each item, some at a time; only threads made for this session carry its job properties."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
+def _boosted_fit(train, valid, params, objective, seed, patience):
+    """``(staged mean absolute errors or None, error, rounds, fired)`` of one draw of parameters on the validation rows."""
+    if objective == "poisson":
+        model, history = fit_poisson(train, valid, patience=patience, seed=seed, **poisson_settings(params))
+        stop = patience_stop([h[2] for h in history], patience)
+        return mean_error(model.transform(valid)), stop.rounds, stop.fired
+    errors = staged_errors(boosted_trees(params, objective, seed).fit(train), valid, "absolute")
+    stop = patience_stop(errors, patience)
+    return stop.error, stop.rounds, stop.fired
+
+
+def random_search(
+    train, valid, trials=N_TRIALS, seed=42, space=None, parallelism=4, objective="squared", rungs=1, eta=3, patience=PATIENCE,
+):
     """``(best parameters, trial frame)`` by validation error; fits run side by side.
 
-    Each fit also stops early on the validation rows.
+    Each draw is fitted to its budget of rounds, its error after every round is read in one pass, and the
+    best round under the patience rule counts. With more ``rungs`` this is successive halving: the first
+    rung gives a draw ``1 / eta ** (rungs - 1)`` of its rounds, the best ``1 / eta`` of the draws go on
+    with ``eta`` times as many, and a draw whose patience ran out keeps its errors and isn't fitted again.
+    The best parameters carry the rounds kept as ``maxIter``.
     """
     draws = sample_params(trials, seed, space)
-    both = with_validation(train, valid)
+    alive, told, last = list(range(len(draws))), [], {}
+    for rung in range(rungs):
+        share = eta ** (rungs - 1 - rung)
+        budget = {i: max(1, -(-draws[i]["maxIter"] // share)) for i in alive}
+        open_draws = [i for i in alive if not (i in last and last[i][2])]
+
+        def fit(i):
+            return _boosted_fit(train, valid, {**draws[i], "maxIter": budget[i]}, objective, seed, patience)
+
+        for i, found in zip(open_draws, _side_by_side(train.sparkSession, fit, open_draws, parallelism)):
+            last[i] = (*found[:2], found[2] or budget[i] == draws[i]["maxIter"])
+        ranked = sorted(alive, key=lambda i: (last[i][0], i))
+        going = ranked[: max(1, -(-len(alive) // eta))] if rung + 1 < rungs else ranked[:1]
+        told += [(i, rung, budget[i], last[i][1], last[i][0], i in open_draws, i in going) for i in alive]
+        alive = sorted(going)
+    best = alive[0]
+    rows = [(*t[:5], t[5], t[6], rung_is_last and t[0] == best, *map(float, (draws[t[0]][k] for k in SEARCH_SPACE))) for t in told for rung_is_last in (t[1] == rungs - 1,)]
+    columns = ", ".join(f"{k} double" for k in SEARCH_SPACE)
+    schema = f"trial int, rung int, budget int, rounds int, mae double, fitted boolean, kept boolean, chosen boolean, {columns}"
+    return {**draws[best], "maxIter": max(1, last[best][1])}, train.sparkSession.createDataFrame(rows, schema)
 
-    def fit(params):
-        learner = boosted_trees(params, objective, seed, None if objective == "poisson" else VALIDATION)
-        return mean_error(learner.fit(both if objective == "squared" else train).transform(valid))
 
-    # only threads made for this session carry its job properties
-    with ThreadPoolExecutor(parallelism) as pool:
-        errors = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), draws))
-    best = min(range(len(draws)), key=lambda i: (errors[i], i))
-    rows = [(i, errors[i], i == best, *map(float, (draws[i][k] for k in SEARCH_SPACE))) for i in range(len(draws))]
-    columns = ", ".join(f"{k} double" for k in SEARCH_SPACE)
-    schema = f"trial int, mae double, chosen boolean, {columns}"
-    return draws[best], train.sparkSession.createDataFrame(rows, schema)
+def poisson_settings(params=None) -> dict:
+    """Sizes of boosted regression trees as settings of the Poisson loop; it takes no row or column samples."""
+    given = {**BOOSTED, **(params or {})}
+    kept = {"rounds": given["maxIter"], "depth": given["maxDepth"], "step": given["stepSize"]}
+    return kept | {k: given[k] for k in ("minInstancesPerNode",) if k in given}
 
 
 def fit_stacking(train: DataFrame, learners: dict, blocks=STACK_FOLDS, block="block") -> PipelineModel:
@@ -193,17 +234,19 @@ def fit_vote(train: DataFrame, boosted=None, forest=None, weights=None, seed=42)
     return PipelineModel([*fitted, blended])
 
 
-def fit_model(kind: str, train: DataFrame, params=None, boosted=None, forest=None, seed=42, validation=None):
+def fit_model(kind: str, train: DataFrame, params=None, boosted=None, forest=None, seed=42, valid=None, patience=PATIENCE):
     """Fit a registered model; an unknown name is an error.
 
-    ``boosted`` and ``forest`` override the default sizes, ``params`` is the search result.
+    ``boosted`` and ``forest`` override the default sizes, ``params`` is the search result. Boosted
+    models stop by patience on the rows ``valid``, if given.
     """
-    if kind == "base":
-        return boosted_trees(boosted, seed=seed, validation=validation).fit(train)
-    if kind == "optimized":
-        return boosted_trees({**(boosted or {}), **(params or {})}, seed=seed, validation=validation).fit(train)
+    if kind in ("base", "optimized"):
+        learner = boosted_trees({**(boosted or {}), **((params or {}) if kind == "optimized" else {})}, seed=seed)
+        return learner.fit(train) if valid is None else fit_with_patience(learner, train, valid, patience)[0]
     if kind == "poisson":
-        return boosted_trees(objective="poisson").fit(train)
+        return fit_poisson(train, valid, patience=patience, seed=seed, **poisson_settings(boosted))[0]
+    if kind == "poisson_line":
+        return boosted_trees(objective="poisson_line").fit(train)
     if kind == "forest":
         return random_forest(forest, seed).fit(train)
     if kind == "vote":
@@ -219,14 +262,24 @@ def fit_model(kind: str, train: DataFrame, params=None, boosted=None, forest=Non
 
 def walk_forward(
     train: DataFrame, features, target: str, n_folds=N_FOLDS, models=MODEL_NAMES, n_features=N_FEATURES,
-    trials=N_TRIALS, space=None, boosted=None, forest=None, selector=None, seed=42,
+    trials=N_TRIALS, space=None, boosted=None, forest=None, selector=None, seed=42, rungs=1, patience=PATIENCE, ledger=None,
 ):
     """``(fold score frame, best model name, tuned parameters)`` over expanding time folds.
 
     Boosted trees stop early on the rows of the fold they are scored on, and fold 1 also tunes
     the parameters, so the scores of both are optimistic.
+
+    ``ledger`` names a folder where every finished cell is written: the features picked in a fold,
+    the search, and the score of each fold and model. A run that finds cells there takes them over, so
+    a run that was broken off goes on where it stopped. It belongs to one set of arguments and input.
     """
     selector = selector or {}
+    spark = train.sparkSession
+    book = Ledger(spark, ledger, {
+        "features": list(features), "target": target, "n_folds": n_folds, "models": list(models), "n_features": n_features, "trials": trials, "space": space,
+        "boosted": boosted, "forest": forest, "selector": selector, "seed": seed, "rungs": rungs, "patience": patience,
+    })
+    tuning = trials and {"optimized", "stacking"} & set(models)
     folded = time_folds(train.where(F.col(target).isNotNull()), n_folds).persist()
     held, scores, params = [folded], [], None
 
@@ -240,49 +293,53 @@ def walk_forward(
 
     try:
         for fold in range(1, n_folds + 1):
-            fit_rows, check_rows = fold_rows(folded, fold)
-            stages, names = encoding_stages(fit_rows, features)
-            blocked = contiguous_folds(fit_rows, STACK_FOLDS) if "stacking" in models else fit_rows.withColumn("block", F.lit(0))
-            full = hold(matrix(blocked, stages, target, ["block"]))
-            picked = top_features(feature_importance(full, names, seed, **selector), n_features)
-            slicer = VectorSlicer(inputCol="features", outputCol="picked", indices=picked)
-
-            def sliced(rows):
-                return slicer.transform(rows).drop("features").withColumnRenamed("picked", "features")
-
-            fit_on = hold(sliced(full))
-            check = hold(sliced(matrix(check_rows, stages, target)))
-            fit_on.count()
-            held.remove(full)
-            full.unpersist()
-            if fold == 1 and trials and {"optimized", "stacking"} & set(models):
-                params, _ = random_search(fit_on, check, trials, seed, space)
-            stopping = with_validation(fit_on, check)
-            for order, kind in enumerate(models):
-                early = kind in ("base", "optimized")
-                fitted = fit_model(
-                    kind, stopping if early else fit_on, params, boosted, forest, seed, VALIDATION if early else None
-                )
-                scores.append((fold, order, kind, mean_error(fitted.transform(check))))
-            release()
+            if fold == 1 and tuning and book.has(1, "search"):
+                params = json.loads(book.value(1, "search"))
+            open_models = [kind for kind in models if not book.has(fold, kind)]
+            if open_models or (fold == 1 and tuning and params is None):
+                fit_rows, check_rows = fold_rows(folded, fold)
+                stages, names = encoding_stages(fit_rows, features)
+                blocked = contiguous_folds(fit_rows, STACK_FOLDS) if "stacking" in open_models else fit_rows.withColumn("block", F.lit(0))
+                full = hold(matrix(blocked, stages, target, ["block"]))
+                if not book.has(fold, "features"):
+                    book.add(fold, "features", json.dumps(top_features(feature_importance(full, names, seed, **selector), n_features)))
+                slicer = VectorSlicer(inputCol="features", outputCol="picked", indices=json.loads(book.value(fold, "features")))
+
+                def sliced(rows):
+                    return slicer.transform(rows).drop("features").withColumnRenamed("picked", "features")
+
+                fit_on = hold(sliced(full))
+                check = hold(sliced(matrix(check_rows, stages, target)))
+                fit_on.count()
+                held.remove(full)
+                full.unpersist()
+                if fold == 1 and tuning and params is None:
+                    params, _ = random_search(fit_on, check, trials, seed, space, rungs=rungs, patience=patience)
+                    book.add(1, "search", json.dumps(params))
+                for kind in open_models:
+                    valid = check if kind in ("base", "optimized", "poisson") else None
+                    fitted = fit_model(kind, fit_on, params, boosted, forest, seed, valid, patience)
+                    book.add(fold, kind, json.dumps(params), mean_error(fitted.transform(check)))
+                release()
+            scores += [(fold, order, kind, book.mae(fold, kind)) for order, kind in enumerate(models)]
     finally:
         release(0)
-    frame = train.sparkSession.createDataFrame(scores, "fold int, model_order int, model string, mae double")
+    frame = spark.createDataFrame(scores, "fold int, model_order int, model string, mae double")
     return frame, best_model(cv_summary(frame)).first().model, params
 
 
 def train_final(
     train: DataFrame, test: DataFrame, features, target: str, kind="base", params=None,
-    select=True, n_features=N_FEATURES, boosted=None, forest=None, selector=None, early_stop=True, seed=42,
+    select=True, n_features=N_FEATURES, boosted=None, forest=None, selector=None, early_stop=True, seed=42, patience=PATIENCE,
 ):
     """``(pipeline, scored test rows, error frame)`` of the chosen model.
 
-    Boosting stops early on the last time fold of the training rows, never on the test rows.
+    Boosting stops by patience on the last time fold of the training rows, never on the test rows.
     """
     stages, names = encoding_stages(train, features)
     rows = train.where(F.col(target).isNotNull())
     extra = []
-    stopping = early_stop and kind in ("base", "optimized")
+    stopping = early_stop and kind in ("base", "optimized", "poisson")
     if stopping:
         rows = time_folds(rows, N_FOLDS).withColumn(VALIDATION, F.col("fold") == N_FOLDS)
         extra.append(VALIDATION)
@@ -302,9 +359,9 @@ def train_final(
             for stage in choose:
                 fit_on = stage.transform(fit_on)
             parts += choose
-        fitted = fit_model(
-            kind, fit_on, params, boosted, forest, seed, VALIDATION if stopping else None
-        )
+        valid = fit_on.where(VALIDATION) if stopping else None
+        fit_on = fit_on.where(~F.col(VALIDATION)) if stopping else fit_on
+        fitted = fit_model(kind, fit_on, params, boosted, forest, seed, valid, patience)
     finally:
         full.unpersist()
     pipeline = PipelineModel([*parts, fitted])

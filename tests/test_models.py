@@ -52,7 +52,7 @@ def test_final_fit_saves_and_scores_upcoming_games(prepared, tmp_path):
     assert again.count() == test.where("points_for is null").count()
 
 
-@pytest.mark.parametrize("kind", ["stacking", "vote", "poisson", "forest"])
+@pytest.mark.parametrize("kind", ["stacking", "vote", "poisson", "poisson_line", "forest"])
 def test_model_kinds(small, kind):
     rows, _ = small
     model = models.fit_model(kind, rows, boosted=QUICK, forest=QUICK_FOREST)
