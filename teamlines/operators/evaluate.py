@@ -20,10 +20,13 @@ def team_errors(df: DataFrame, prediction="prediction", target="points_for") ->
     return df.agg(F.avg(F.abs(error)).alias("mae"), _rmse(error).alias("rmse"))
 
 
-def game_predictions(df: DataFrame, prediction="prediction") -> DataFrame:
-    """Team predictions rolled up to games: one row per home row, the away side nullable."""
+def game_predictions(df: DataFrame, prediction="prediction", extra=()) -> DataFrame:
+    """Team predictions rolled up to games: one row per home row, the away side nullable.
+
+    ``extra`` names columns of the home row to keep.
+    """
     lines = [c for c in ("spread_line", "total_line") if c in df.columns]
-    named = df.withColumnRenamed(prediction, "_pred").select("game_id", "is_home", "points_for", "_pred", *lines)
+    named = df.withColumnRenamed(prediction, "_pred").select("game_id", "is_home", "points_for", "_pred", *lines, *extra)
     c = F.col
     games = pair_sides(named, "left").select(
         "game_id",
@@ -35,7 +38,7 @@ def game_predictions(df: DataFrame, prediction="prediction") -> DataFrame:
         c("points_for_away").alias("away_actual"),
         (c("points_for_home") + c("points_for_away")).alias("actual_total"),
         (c("points_for_home") - c("points_for_away")).alias("actual_spread"),
-        *[c(f"{line}_home").alias(line) for line in lines],
+        *[c(f"{kept}_home").alias(kept) for kept in (*lines, *extra)],
     )
     made = {
         f"ae_{what}": F.abs(c(predicted) - c(actual))

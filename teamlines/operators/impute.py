@@ -45,15 +45,16 @@ def medians(df: DataFrame, columns, exact=True, accuracy=100_000) -> DataFrame:
     return hit.agg(*[F.avg(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in columns])
 
 
-def fill_medians(df: DataFrame, columns, fitted_on=None, exact=True) -> DataFrame:
-    """Missing values replaced by medians of ``fitted_on``, or of ``df`` itself.
+def fill_medians(df: DataFrame, columns, fitted_on=None, exact=True, middle=None) -> DataFrame:
+    """Missing values replaced by medians of ``fitted_on``, or of ``df`` itself; ``middle`` is such a row already found.
 
     The medians enter as a scalar subquery: no join, and no action before the plan runs.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    middle = medians(df if fitted_on is None else fitted_on, present, exact)
+    if middle is None:
+        middle = medians(df if fitted_on is None else fitted_on, present, exact)
     packed = middle.select(F.struct(*present)).scalar()
     return df.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), packed.getField(c)) for c in present}

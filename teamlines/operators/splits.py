@@ -27,6 +27,15 @@ def expanding_seasons(df: DataFrame, warm_up=5):
         yield season, *holdout_split(df, season)
 
 
+def expanding_sizes(df: DataFrame, warm_up=5) -> DataFrame:
+    """``test_season, part, n_rows`` of the same splits, from one count per season and its running sum."""
+    counts = df.groupBy("season").agg(F.count("*").alias("n"))
+    order = Window.orderBy("season")  # one row a season
+    sums = counts.select("season", "n", F.row_number().over(order).alias("place"), (F.sum("n").over(order) - F.col("n")).alias("earlier"))
+    parts = F.array(F.struct(F.lit("train").alias("part"), F.col("earlier").alias("n_rows")), F.struct(F.lit("test").alias("part"), F.col("n").alias("n_rows")))
+    return sums.where(F.col("place") > warm_up).select(F.col("season").alias("test_season"), F.inline(parts))
+
+
 def season_list_split(df: DataFrame, test_seasons):
     """Test on the listed seasons, train on all others, later ones included."""
     listed = F.col("season").isin(*test_seasons)

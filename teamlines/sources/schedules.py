@@ -67,7 +67,10 @@ def load_schedules(spark: SparkSession, path: str, years=None, fmt="parquet", sc
 
 
 def save_features(df: DataFrame, path: str, fmt="parquet", mode="overwrite") -> None:
-    """Feature rows to Parquet in folders by season, or to CSV with a header."""
+    """Feature rows to Parquet in folders by season, or to CSV with a header.
+
+    ``overwrite`` replaces all that lies at ``path``; :func:`save_seasons` replaces single seasons.
+    """
     writer = df.write.mode(mode)
     if fmt == "csv":
         writer.option("header", True).csv(path)
@@ -75,6 +78,25 @@ def save_features(df: DataFrame, path: str, fmt="parquet", mode="overwrite") ->
         writer.partitionBy("season").format(fmt).save(path)
 
 
+def save_seasons(df: DataFrame, path: str, fmt="parquet", seasons=None) -> None:
+    """Feature rows into their seasons' folders; folders of other seasons stay as they are.
+
+    The files are staged beside the folders and each season is replaced when all tasks are done, so a
+    load that fails changes nothing and one that is repeated gives the same rows again. Rows are
+    rebalanced by season first: a season is few files, and a large one is still written by many tasks.
+    ``seasons`` are those the load stands for; other rows in ``df`` are an error, as is a null season.
+    A season listed without rows is left as it was.
+    """
+    if seasons is not None:
+        known = F.col("season").isin([int(s) for s in seasons])
+        told = F.raise_error(F.concat(F.lit("a row of a season that is not loaded: "), F.coalesce(F.col("season").cast("string"), F.lit("null"))))
+        season = F.when(known, F.col("season")).otherwise(told.cast("int"))
+    else:
+        season = F.coalesce("season", F.raise_error(F.lit("a row without a season")).cast("int"))
+    rows = df.withColumn("season", season.cast(df.schema["season"].dataType)).hint("rebalance", "season")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("season").format(fmt).save(path)
+
+
 def load_games(spark: SparkSession, path: str, schema, fmt="csv") -> DataFrame:
     """Feature rows back from a file written by :func:`save_features`, under a known schema."""
     reader = spark.read.schema(schema)
@@ -83,6 +105,16 @@ def load_games(spark: SparkSession, path: str, schema, fmt="csv") -> DataFrame:
     return nan_to_null(reader.format(fmt).load(path))
 
 
-def build_and_save_features(spark, source, target, builder, years=None, fmt="csv", schema=SCHEDULE):
-    """Load, add features with ``builder`` and write; the feature-file job in one call."""
-    save_features(builder(load_schedules(spark, source, years, schema=schema)), target, fmt)
+def build_and_save_features(spark, source, target, builder, years=None, fmt="csv", schema=SCHEDULE, seasons=None):
+    """Load, add features with ``builder`` and write; the feature-file job in one call.
+
+    With ``seasons``, features are built over all ``years``, since they look back, and only those
+    seasons are written, into a sink by season whose other seasons stay.
+    """
+    built = builder(load_schedules(spark, source, years, schema=schema))
+    if seasons is None:
+        save_features(built, target, fmt)
+    elif fmt == "csv":
+        raise ValueError("a CSV feature file has no seasons of its own")
+    else:
+        save_seasons(built.where(F.col("season").isin(list(seasons))), target, fmt, seasons)
