@@ -361,6 +361,29 @@ predicted AS (
   FROM stand_in a LEFT JOIN stand_in b ON a.game_id = b.game_id AND b.is_home = 0
   WHERE a.is_home = 1)"""
 
+# Games from 2001 on without scores; lines filled with the medians of those before.
+NOT_YET = GAMES.replace("\ntg AS (", "\nall_games AS (") + """,
+tg AS (
+  SELECT * REPLACE (CASE WHEN season < 2001 THEN points_for END AS points_for, CASE WHEN season < 2001 THEN points_against END AS points_against)
+  FROM all_games)"""
+UPCOMING = (
+    f"{NOT_YET},{OUTCOMES},{RATED},{TEAM},{SITUATED},{MATCHED},"
+    f"\nlined AS ({filled('matched', where='season < 2001')}),\npriced AS (SELECT *, {columns(MARKET)} FROM lined)"
+)
+HISTORY_RULE = """implied_points + 0.1e0 * coalesce(pf_avg_5 - opp_pa_avg_5, 0) + coalesce(form_ema_9, 0) + coalesce(sos_8, 0) + opp_win_pct
+  + season_progress + 0.1e0 * coalesce(pf_std_16, 0) + coalesce(ats_record_10, 0) + coalesce(clutch_record, 0) + 0.01e0 * coalesce(off_efficiency_trend_5, 0)"""
+
+# Deviations by roof: a group's variance weighs its games less one, that of all games weighs 20.
+ROOFED = f"""{PAIRED},
+roofs AS (
+  SELECT p.*, t.roof, pred_spread - actual_spread AS ds, pred_total - actual_total AS dt
+  FROM predicted p JOIN tg t ON t.game_id = p.game_id AND t.is_home = 1),
+every AS (SELECT var_samp(ds) AS vs, var_samp(dt) AS vt FROM roofs),
+noise AS (
+  SELECT roof, n_games, sqrt((greatest(n_games - 1, 0) * coalesce(gs, 0) + 20 * vs) / (greatest(n_games - 1, 0) + 20)) AS s,
+         sqrt((greatest(n_t - 1, 0) * coalesce(gt, 0) + 20 * vt) / (greatest(n_t - 1, 0) + 20)) AS t
+  FROM (SELECT roof, count(ds) AS n_games, count(dt) AS n_t, var_samp(ds) AS gs, var_samp(dt) AS gt FROM roofs GROUP BY roof), every)"""
+
 IN_TIME = "ORDER BY date, substr(md5(CAST(game_id AS VARCHAR)), 1, 2), game_id, -is_home"
 
 
@@ -739,6 +762,37 @@ def oracles():
             ["home_pred", "away_pred", "pred_spread", "spread_low", "spread_high", "pred_total", "total_low", "total_high", "confidence"],
             PAIRED,
         ),
+        "format_predictions_grouped": query(
+            "SELECT game_id, r.roof, n_games, round(home_pred, 1) AS home_pred, round(away_pred, 1) AS away_pred, round(pred_spread, 1) AS pred_spread, "
+            "round(pred_spread - 1.96e0 * s, 1) AS spread_low, round(pred_spread + 1.96e0 * s, 1) AS spread_high, "
+            "round(pred_total, 1) AS pred_total, round(pred_total - 1.96e0 * t, 1) AS total_low, round(pred_total + 1.96e0 * t, 1) AS total_high, "
+            "abs(pred_spread - spread_line) / s AS confidence FROM roofs r JOIN noise n ON r.roof IS NOT DISTINCT FROM n.roof",
+            ["home_pred", "away_pred", "pred_spread", "spread_low", "spread_high", "pred_total", "total_low", "total_high", "confidence"],
+            ROOFED,
+        ),
+        "score_from_state": query(
+            f"SELECT game_id, season, week, date, team, opp, is_home, points_for, spread_line, total_line, {HISTORY_RULE} AS prediction "
+            "FROM priced WHERE season >= 2001",
+            [*lines, "prediction"],
+            UPCOMING,
+        ),
+        "bundle_reload": query("SELECT season, count(*) AS n_rows, count(*) AS n_equal FROM tg WHERE season = 2001 GROUP BY season"),
+        "season_sink": query(
+            "SELECT game_id, team, season, points_for, beat_spread, diff_pf_avg_3, pd_avg_8 FROM built",
+            ["diff_pf_avg_3", "pd_avg_8"],
+            built(),
+        ),
+        "missing_flags": query(
+            "SELECT game_id, team, "
+            + ", ".join(f"coalesce({c}, 0e0) AS filled_{c}, CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END AS filled_{c}_missing" for c in (*lines, "home_moneyline", "away_moneyline"))
+            + " FROM tg",
+        ),
+        "opponent_join_date_split": query(
+            "SELECT a.game_id, a.team, b.pf_avg_5 AS opp_pf_avg_5, b.pa_avg_5 AS opp_pa_avg_5 "
+            "FROM short_rows a LEFT JOIN short_rows b ON a.opp = b.team AND a.date = b.date",
+            ["opp_pf_avg_5", "opp_pa_avg_5"],
+            ADDED,
+        ),
         "upcoming_predictions": query(
             "SELECT game_id, season, week, date, team, opp, is_home, points_for, spread_line, total_line, prediction FROM stand_in "
             "WHERE points_for IS NULL",

@@ -1,7 +1,5 @@
 """The registered queries: each takes (spark, folder of tables) and returns a DataFrame."""
 
-from functools import reduce
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -14,8 +12,9 @@ from teamlines.functions import windows as w
 from teamlines.operators import betting as b
 from teamlines.operators import catalog, evaluate, game_level, impute, joins, splits
 from teamlines.operators import rolling as r
+from teamlines.operators import state
 from teamlines.plans import features as f
-from teamlines.plans import encode, models, scoring
+from teamlines.plans import boosting, encode, models, scoring, serving
 from teamlines.plans.betting_runs import run_backtest, run_training
 from teamlines.plans.prepare import IMPUTED, prepare_data
 from teamlines.session import materialized, scratch_path
@@ -98,6 +97,19 @@ def feature_job(spark, folder):
     return load_games(spark, target, schema).select(*KEYS, "date", "season", "beat_spread", "diff_pf_avg_3", "pd_avg_8")
 
 
+def season_sink(spark, folder):
+    """Features by season in Parquet; a season with wrong scores is loaded again, twice, and the others stay."""
+    source, target = scratch_path(spark, "schedule"), scratch_path(spark, "features")
+    games = sample_tables.schedule(spark, folder)
+    games.write.parquet(source)
+    built = f.build_features(load_schedules(spark, source, range(1992, 2002), schema=games.schema))
+    wrong = F.when(F.col("season") == 1997, F.col("points_for") + 1000).otherwise(F.col("points_for"))
+    save_features(built.withColumn("points_for", wrong), target)
+    for _ in range(2):
+        build_and_save_features(spark, source, target, f.build_features, range(1992, 2002), "parquet", games.schema, seasons=[1997])
+    return load_games(spark, target, built.schema, "parquet").select(*KEYS, "season", "points_for", "beat_spread", "diff_pf_avg_3", "pd_avg_8")
+
+
 def profile(spark, folder):
     return catalog.profile(tg(spark, folder))
 
@@ -160,12 +172,7 @@ def expanding_split(spark, folder):
 
 def expanding_seasons(spark, folder):
     """Train and test sizes of every season after a warm-up of three."""
-    rows = splits.with_target(tg(spark, folder), "points_for")
-    parts = [
-        _parts(train, test).groupBy("part").agg(F.count("*").alias("n_rows")).withColumn("test_season", F.lit(season))
-        for season, train, test in splits.expanding_seasons(rows, warm_up=3)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return splits.expanding_sizes(splits.with_target(tg(spark, folder), "points_for"), warm_up=3)
 
 
 def drop_pushes(spark, folder):
@@ -220,6 +227,13 @@ def opponent_join_date(spark, folder):
     return joins.opponent_columns(rows, names, "date").select(*KEYS, *[f"opp_{n}" for n in names])
 
 
+def opponent_join_date_split(spark, folder):
+    """The same, with every opponent and date of more than one row salted."""
+    rows = r.create_team_rolling_features(tg(spark, folder))
+    names = ["pf_avg_5", "pa_avg_5"]
+    return joins.opponent_columns(rows, names, "date", hot_rows=1).select(*KEYS, *[f"opp_{n}" for n in names])
+
+
 def game_level_rows(spark, folder):
     rows = r.create_team_rolling_features(tg(spark, folder).withColumn("rest_days", st.rest_days()))
     games = game_level.to_game_level_with_diffs(rows)
@@ -423,6 +437,14 @@ def stratified_split(spark, folder):
     return splits.stratified_split(labelled_games(spark, folder), "label").select("game_id", "label", "is_train")
 
 
+def missing_flags(spark, folder):
+    """Lines and moneylines as learners get them: numbers filled with 0, and a flag for each that was missing."""
+    rows = tg(spark, folder)
+    numbers = [*f.LINES, "home_moneyline", "away_moneyline"]
+    stages, names = encode.encoding_stages(rows, numbers, missing_flags=True)
+    return stages[0].transform(rows).select(*KEYS, *[F.col(f"in_{n}").alias(f"filled_{n}") for n in names])
+
+
 def one_hot(spark, folder):
     train, test = splits.holdout_split(impute.fill_unknown(tg(spark, folder)), TEST_SEASON)
     levels = encode.category_levels(train, catalog.CATEGORICAL)
@@ -510,6 +532,11 @@ def format_predictions(spark, folder):
     return scoring.format_predictions(stand_in(tg(spark, folder)))
 
 
+def format_predictions_grouped(spark, folder):
+    """Intervals from the residuals of games under the same kind of roof, drawn towards all games'."""
+    return scoring.format_predictions(stand_in(tg(spark, folder)), by=["roof"])
+
+
 def _rule_model():
     """A pipeline that predicts the implied points: saved, loaded and applied as a fitted one is."""
     own = "CASE WHEN is_home = 1 THEN total_line / 2 + spread_line / 2 ELSE total_line / 2 - spread_line / 2 END"
@@ -532,6 +559,43 @@ def upcoming_formatted(spark, folder):
     return scoring.format_predictions(upcoming, fitted_on=played)
 
 
+# The rule that stands in for a fitted pipeline reads history, opponent, season and market columns.
+HISTORY_RULE = """implied_points + 0.1D * coalesce(pf_avg_5 - opp_pa_avg_5, 0) + coalesce(form_ema_9, 0) + coalesce(sos_8, 0) + opp_win_pct
+  + season_progress + 0.1D * coalesce(pf_std_16, 0) + coalesce(ats_record_10, 0) + coalesce(clutch_record, 0) + 0.01D * coalesce(off_efficiency_trend_5, 0)"""
+RULE_INPUTS = [
+    "implied_points", "pf_avg_5", "opp_pa_avg_5", "form_ema_9", "sos_8", "opp_win_pct", "season_progress", "pf_std_16", "ats_record_10",
+    "clutch_record", "off_efficiency_trend_5",
+]
+
+
+def score_from_state(spark, folder):
+    """Games of the last season scored from a saved bundle and a team snapshot brought up to date once."""
+    rows = materialized(tg(spark, folder))
+    early = state.temporary_snapshot(rows.where(F.col("season") < 2000))
+    path = state.take_snapshot(rows.where(F.col("season") == 2000), scratch_path(spark, "state"), before=early)
+    past = rows.where(F.col("season") < TEST_SEASON)
+    unplayed = {c: F.lit(None).cast(rows.schema[c].dataType) for c in ("points_for", "points_against")}
+    new = rows.where(F.col("season") >= TEST_SEASON).withColumns(unplayed)
+    rule = PipelineModel([SQLTransformer(statement=f"SELECT *, {HISTORY_RULE} AS prediction FROM __THIS__")])
+    trained = f.create_all_features(past)
+    bundle = serving.make_bundle(rule, trained, RULE_INPUTS, serving.fitted_medians(past))
+    saved = serving.save_bundle(spark, bundle, scratch_path(spark, "bundle"))
+    return serving.score_from_state(spark, saved, path, new)
+
+
+def bundle_reload(spark, folder):
+    """A fitted pipeline, saved and loaded: rows of each season and how many get the very prediction they had before."""
+    rows = materialized(f.create_situational_features(tg(spark, folder)))
+    names = ["rest_days", "season_progress", "is_home", "roof", "surface"]
+    train, test = splits.holdout_split(rows, TEST_SEASON)
+    pipeline, before, _ = models.train_final(train, test, names, "points_for", select=False, boosted=dict(maxIter=2, maxDepth=2))
+    bundle = serving.make_bundle(pipeline, train, names, categorical=catalog.CATEGORICAL)
+    loaded = serving.load_bundle(spark, serving.save_bundle(spark, bundle, scratch_path(spark, "bundle")))
+    after = loaded.score(test).select(*KEYS, F.col("prediction").alias("again"))
+    same = F.count_if(F.col("prediction") == F.col("again")).alias("n_equal")
+    return before.join(after, KEYS).groupBy("season").agg(F.count("*").alias("n_rows"), same)
+
+
 def ridge_line(spark, folder):
     """Ridge regression of points on the total line: coefficient and intercept."""
     rows = tg(spark, folder).where("points_for IS NOT NULL AND total_line IS NOT NULL")
@@ -549,6 +613,7 @@ QUICK = dict(maxIter=5, maxDepth=4, stepSize=0.1)
 QUICK_FOREST = dict(numTrees=8, maxDepth=4)
 QUICK_SELECTOR = dict(boosted=dict(maxIter=3, maxDepth=4), forest=QUICK_FOREST)
 QUICK_SPACE = dict(maxIter=(2, 5), maxDepth=(2, 4), stepSize=(0.05, 0.2))
+HALVING_SPACE = dict(maxIter=(9, 18), maxDepth=(2, 4), stepSize=(0.05, 0.3))
 
 
 def _final(kind):
@@ -573,13 +638,43 @@ def feature_select(spark, folder):
 
 
 def random_search(spark, folder):
+    return _first_fold(spark, folder, lambda fit_on, check: models.random_search(fit_on, check, trials=3, space=QUICK_SPACE)[1])
+
+
+def _first_fold(spark, folder, work):
     rows, stages, _, target = _matrix(spark, folder)
     fit_rows, check_rows = splits.fold_rows(rows, 1)
     fit_on, check = (models.matrix(part, stages, target).persist() for part in (fit_rows, check_rows))
-    trials = models.random_search(fit_on, check, trials=3, space=QUICK_SPACE)[1]
-    fit_on.unpersist()
-    check.unpersist()
-    return trials
+    try:
+        return work(fit_on, check)
+    finally:
+        fit_on.unpersist()
+        check.unpersist()
+
+
+def halving_search(spark, folder):
+    """All 50 draws by successive halving over three rungs."""
+    def work(fit_on, check):
+        return models.random_search(fit_on, check, space=HALVING_SPACE, rungs=3, parallelism=8)[1]
+    return _first_fold(spark, folder, work)
+
+
+def early_stopping(spark, folder):
+    """Validation errors by round of boosted trees with patience 5, and the round that is kept."""
+    def work(fit_on, check):
+        learner = models.boosted_trees(dict(maxIter=40, maxDepth=3, stepSize=0.3))
+        model, errors, stop = boosting.fit_with_patience(learner, fit_on, check, patience=5)
+        rows = [(i, float(e), i == stop.rounds, model.getNumTrees) for i, e in enumerate(errors[: stop.seen], 1)]
+        return spark.createDataFrame(rows, "round int, error double, kept boolean, trees int")
+    return _first_fold(spark, folder, work)
+
+
+def poisson_rounds(spark, folder):
+    """Deviance by round of boosted trees for counts, on the rows fitted and on the validation rows."""
+    def work(fit_on, check):
+        _, history = boosting.fit_poisson(fit_on, check, rounds=8, depth=3, step=0.3, patience=3)
+        return spark.createDataFrame(history, "round int, train_deviance double, valid_deviance double")
+    return _first_fold(spark, folder, work)
 
 
 def walk_forward(spark, folder):
@@ -617,6 +712,7 @@ CHECKED = {
     "schedule_files": schedule_files,
     "feature_file": feature_file,
     "feature_job": feature_job,
+    "season_sink": season_sink,
     "profile": profile,
     "column_profile": column_profile,
     "fixed_features": fixed_features,
@@ -638,6 +734,7 @@ CHECKED = {
     "opponent_join_self": _opponent("self"),
     "opponent_join_game": _opponent("game"),
     "opponent_join_date": opponent_join_date,
+    "opponent_join_date_split": opponent_join_date_split,
     "game_level": game_level_rows,
     "home_anchor": home_anchor,
     "first_per_game": first_per_game,
@@ -677,6 +774,7 @@ CHECKED = {
     "contiguous_folds": contiguous_folds,
     "stratified_split": stratified_split,
     "one_hot": one_hot,
+    "missing_flags": missing_flags,
     "team_errors": team_errors,
     "game_eval": game_eval,
     "game_metrics": game_metrics,
@@ -693,6 +791,9 @@ CHECKED = {
     "season_backtest": season_backtest,
     "backtest_summary": backtest_summary,
     "format_predictions": format_predictions,
+    "format_predictions_grouped": format_predictions_grouped,
+    "score_from_state": score_from_state,
+    "bundle_reload": bundle_reload,
     "upcoming_predictions": upcoming_predictions,
     "upcoming_formatted": upcoming_formatted,
     "ridge_line": ridge_line,
@@ -700,7 +801,11 @@ CHECKED = {
 
 FITTED = {
     "gbt_regression": _final("base"),
-    "poisson_regression": _final("poisson"),
+    "poisson_regression": _final("poisson_line"),
+    "poisson_boosted": _final("poisson"),
+    "poisson_rounds": poisson_rounds,
+    "early_stopping": early_stopping,
+    "halving_search": halving_search,
     "stacking": _final("stacking"),
     "vote_ensemble": _final("vote"),
     "feature_select": feature_select,
