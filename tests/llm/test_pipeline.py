@@ -85,7 +85,7 @@ def test_exact_stage(stages):
 def test_near_stage(stages):
     before, after = map(rows, stages["near"])
     ids = sorted(before)
-    sets = {i: brute_set(before[i], 5) for i in ids}
+    sets = {i: brute_set(before[i], 4) for i in ids}
     root = {i: i for i in ids}
 
     def find(i):
