@@ -95,6 +95,36 @@ def rows_of(df: DataFrame, **columns):
     return _with_number(df, picked, "row_id")
 
 
+def _bit(bits, number):
+    """Whether the bitmap column ``bits`` (none: no) holds the place of the row number ``number`` in its run."""
+    low = (1 << BUCKET_BITS) - 1
+    byte = f"conv(hex(substring(`{bits}`, int(shiftright(`{number}` & {low}, 3)) + 1, 1)), 16, 10)"
+    return F.coalesce(F.expr(f"shiftright(int({byte}), int(`{number}` & 7)) & 1"), F.lit(0)) == 1
+
+
+def _bitmaps(rows: DataFrame, bucket, **flags):
+    """``bucket`` and a bitmap for each flag of the ``row_id`` where it holds, written once. Native functions only."""
+    place = F.col("row_id").bitwiseAND((1 << BUCKET_BITS) - 1)
+    made = [F.bitmap_construct_agg(F.when(flag, place)).alias(name) for name, flag in flags.items()]
+    return materialized(rows.groupBy(F.shiftright("row_id", BUCKET_BITS).alias(bucket)).agg(*made))
+
+
+def with_flags(rows: DataFrame, found: DataFrame, most=MOST_BUCKETS, **flags):
+    """``rows`` with a boolean column per flag: whether ``found`` has its ``row_id`` and the flag's condition on ``found`` holds.
+
+    ``found`` has each ``row_id`` once. As long as the bitmaps of its numbers are few they are broadcast and ``rows``
+    stay where they are; else the two meet by a shuffle.
+    """
+    named = {f"{name}_bits": flag for name, flag in flags.items()}
+    bucket = fresh_name([*rows.columns, *named], "bucket")
+    maps = _bitmaps(found, bucket, **named)
+    if maps.count() * len(flags) > most:
+        met = rows.join(found.select("row_id", *[flag.alias(name) for name, flag in flags.items()]), "row_id", "left")
+        return met.fillna(False, list(flags))
+    met = rows.withColumn(bucket, F.shiftright("row_id", BUCKET_BITS)).join(F.broadcast(maps), bucket, "left")
+    return met.withColumns({name: _bit(f"{name}_bits", "row_id") for name in flags}).drop(bucket, *named)
+
+
 def _picked(df: DataFrame, rows: DataFrame, keep, most):
     """The rows of ``df`` whose number is, or isn't, in ``rows.row_id``.
 
@@ -103,16 +133,13 @@ def _picked(df: DataFrame, rows: DataFrame, keep, most):
     """
     tagged, name = with_row_id(df)
     back = [tagged[c] for c in df.columns]
-    low = (1 << BUCKET_BITS) - 1
     bucket, bits = (fresh_name([*df.columns, name], x) for x in ("bucket", "bits"))
-    maps = rows.groupBy(F.shiftright("row_id", BUCKET_BITS).alias(bucket)).agg(F.bitmap_construct_agg(F.col("row_id").bitwiseAND(low)).alias(bits))
-    maps = materialized(maps)
+    maps = _bitmaps(rows, bucket, **{bits: F.lit(True)})
     if maps.count() > most:
         numbers = rows.select(F.col("row_id").alias(name))
         return tagged.join(numbers, name, "left_semi" if keep else "left_anti").select(*back)
-    listed = F.coalesce(F.expr(f"shiftright(int(conv(hex(substring(`{bits}`, int(shiftright(`{name}` & {low}, 3)) + 1, 1)), 16, 10)), int(`{name}` & 7)) & 1"), F.lit(0)) == 1
     met = tagged.join(F.broadcast(maps), F.shiftright(name, BUCKET_BITS) == maps[bucket], "left")
-    return met.where(listed if keep else ~listed).select(*back)
+    return met.where(_bit(bits, name) if keep else ~_bit(bits, name)).select(*back)
 
 
 def keep_rows(df: DataFrame, wanted: DataFrame, most=MOST_BUCKETS):

@@ -2,7 +2,8 @@
 
 From each rule's pattern a Boolean trigram query is derived: any text that matches must satisfy
 it. Documents are indexed by the trigrams of their lower-cased text, the postings of each
-conjunction are intersected, and only the documents found are verified with the pattern. A rule
+conjunction are intersected, and only the documents found are verified with the pattern. The documents
+found reach the texts as broadcast bitmaps of their row numbers, so that texts aren't shuffled. A rule
 whose pattern has no mandatory trigram (a bare run of hex digits) scans every document.
 
 Spans are counted in code points, end exclusive, leftmost and non-overlapping per kind. Native
@@ -17,7 +18,7 @@ from re import _parser as grammar
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teamlines.llm.common import numbered, rows_of
+from teamlines.llm.common import MOST_BUCKETS, numbered, rows_of, with_flags
 
 MOST_STRINGS = 64  # a longer list of alternatives ends an exact run of the pattern
 WIDEST_CLASS = 8  # a wider character class ends it too
@@ -172,26 +173,25 @@ def _lengths(text, rule, place):
     )
 
 
-def find_secrets(docs: DataFrame, rules=RULES, base=BASE, text="text", doc_id="doc_id"):
+def find_secrets(docs: DataFrame, rules=RULES, base=BASE, text="text", doc_id="doc_id", most=MOST_BUCKETS):
     """One row per row of ``docs``: ``row_id, doc_id``, a count per kind (``n_<kind>``), ``spans`` and ``base_sha256``.
 
     ``spans`` is ``kind:start:end`` of all kinds by start, then kind in the order of ``rules``;
     ``base_sha256`` is the digest of that string for the base kinds alone. A null or empty text
-    has no spans. Repeated rows each get their own result.
+    has no spans. Repeated rows each get their own result; spans that tie go by kind. Very long texts are
+    scanned whole. An empty table gives no rows. Only the named columns are read, under names of their own.
     """
     rules = tuple(rules)
     indexed = [r for r in rules if ANY != trigram_query(r.pattern)]
     rows = rows_of(numbered(docs), doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    if indexed:
-        searched = rows.join(candidates(rows, indexed), "row_id", "left")
-    else:
-        searched = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
+    asked = {f"asked_{r.kind}": F.array_contains("kinds", r.kind) for r in indexed}
+    searched = with_flags(rows, candidates(rows, indexed), most, **asked) if indexed else rows
     none = F.array().cast("array<struct<place:int,nth:int,gap:bigint,chars:bigint,counts:boolean>>")
     parts = []
     for place, rule in enumerate(rules):
         lengths = _lengths(F.col("text"), rule, place)
         if rule in indexed:
-            lengths = F.when(F.array_contains("kinds", rule.kind), lengths).otherwise(none)
+            lengths = F.when(F.col(f"asked_{rule.kind}"), lengths).otherwise(none)
         parts.append(lengths)
     matches = searched.select("row_id", "doc_id", F.concat(*parts).alias("matches"))
     # Starts are running totals within a document and kind, so a text of many matches costs a sort, not a square.

@@ -59,3 +59,26 @@ def test_shuffled_frame_is_written_once(docs, spark):
     assert common.numbered(docs) is docs
     assert exact.drop_duplicates(shuffled).count() == 30
     assert warc.write_packages(shuffled.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))).count() > 0
+
+
+@pytest.mark.parametrize("most", [common.MOST_BUCKETS, 0])
+def test_picked_and_flagged_rows(spark, written, most):
+    """By broadcast bitmaps and by a shuffle alike; numbers over several runs, clashing names and repeated rows."""
+    n = 3 * (1 << common.BUCKET_BITS) // 2
+    schema = "doc_id long, bits binary, bucket long, row_id int"
+    docs = spark.range(0, n, 1, 1).selectExpr("id % 1000 AS doc_id", "binary('x') AS bits", "id AS bucket", "1 AS row_id")
+    docs = common.numbered(docs)
+    ids = common.rows_of(docs, bucket="bucket")
+    chosen = ids.where("bucket % 7 = 0 OR bucket IN (32767, 32768, 32769)")
+    want = {i for i in range(n) if i % 7 == 0 or i in (32767, 32768, 32769)}
+    kept, left = common.keep_rows(docs, chosen, most), common.drop_rows(docs, chosen, most)
+    assert kept.columns == left.columns == docs.columns
+    assert {r.bucket for r in kept.select("bucket").collect()} == want
+    assert {r.bucket for r in left.select("bucket").collect()} == set(range(n)) - want
+    told = common.with_flags(ids, chosen, most, odd=F.col("bucket") % 2 == 1, low=F.col("bucket") < 100)
+    assert {r.bucket for r in told.where("odd").collect()} == {i for i in want if i % 2}
+    assert {r.bucket for r in told.where("low").collect()} == {i for i in want if i < 100}
+    assert told.count() == n and told.where("odd IS NULL OR low IS NULL").count() == 0
+    none = written([], schema, "none")
+    assert common.keep_rows(docs, ids.limit(0), most).count() == 0 and common.drop_rows(docs, ids.limit(0), most).count() == n
+    assert common.keep_rows(none, chosen, most).count() == 0
