@@ -3,13 +3,15 @@
 Each line is known by two 64-bit hashes. Per line, a HyperLogLog sketch of its sites is built
 in every task and merged by aggregation. Lines whose estimate is far from the threshold are
 decided by the sketch; the sites of lines near it are counted exactly. Lines with at least
-``min_sites`` sites are boilerplate and leave every document that has them.
+``min_sites`` sites are boilerplate and leave every document that has them. How often each line
+occurs is counted beside its sketch, and joins by line broadcast the lines of a large share.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teamlines.llm.common import numbered, rows_of
+from teamlines.llm.ordering import join_counted
 from teamlines.session import materialized
 
 MIN_SITES = 10
@@ -29,17 +31,17 @@ def document_lines(docs: DataFrame, text="text", site="source"):
 
 
 def boilerplate_lines(lines: DataFrame, min_sites=MIN_SITES, bits=SKETCH_BITS, near=NEAR):
-    """Hashes of the lines that at least ``min_sites`` distinct sites have; a null site counts for none."""
-    sketched = lines.groupBy(*KEY).agg(F.hll_sketch_agg("site", F.lit(bits)).alias("sites"))
+    """Hashes of the lines that at least ``min_sites`` distinct sites have, and how ``often`` each occurs; a null site counts for none."""
+    sketched = lines.groupBy(*KEY).agg(F.hll_sketch_agg("site", F.lit(bits)).alias("sites"), F.count("*").alias("often"))
     spread = materialized(
-        sketched.select(*KEY, F.hll_sketch_estimate("sites").alias("estimate"))
+        sketched.select(*KEY, "often", F.hll_sketch_estimate("sites").alias("estimate"))
         .where(F.col("estimate") >= min_sites * (1 - near))
     )
-    sure = spread.where(F.col("estimate") > min_sites * (1 + near)).select(*KEY)
-    unsure = spread.where(F.col("estimate") <= min_sites * (1 + near)).select(*KEY)
-    pairs = lines.where("site IS NOT NULL").join(unsure, KEY, "left_semi").select(*KEY, "site").distinct()
+    sure = spread.where(F.col("estimate") > min_sites * (1 + near)).drop("estimate")
+    unsure = spread.where(F.col("estimate") <= min_sites * (1 + near)).drop("estimate")
+    pairs = join_counted(lines.where("site IS NOT NULL"), unsure, KEY, "often").select(*KEY, "site").distinct()
     exact = pairs.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select(*KEY)
-    return sure.unionByName(exact)
+    return sure.unionByName(unsure.join(exact, KEY))
 
 
 def remove_boilerplate(docs: DataFrame, text="text", site="source", doc_id="doc_id", **settings):
@@ -53,7 +55,7 @@ def remove_boilerplate(docs: DataFrame, text="text", site="source", doc_id="doc_
     docs = numbered(docs)
     lines = document_lines(docs, text, site)
     shared = materialized(boilerplate_lines(lines, **settings))
-    removed = lines.join(shared, KEY, "left_semi").groupBy("row_id").agg(F.collect_set("at").alias("removed"))
+    removed = join_counted(lines, shared, KEY, "often").groupBy("row_id").agg(F.collect_set("at").alias("removed"))
     rows = rows_of(docs, doc_id=doc_id, text=text).join(removed, "row_id", "left")
     parts = rows.withColumn("parts", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     n, gone = F.size("parts"), F.coalesce("removed", F.array().cast("array<int>"))

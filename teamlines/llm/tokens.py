@@ -150,8 +150,9 @@ def scan_separators(files: DataFrame, separator=END_OF_TEXT, block_tokens=BLOCK_
 def token_counts(docs: DataFrame, path=None, text="text", doc_id="doc_id", block_tokens=BLOCK_TOKENS):
     """``row_id, doc_id, tokens, file, start`` of every row, counted by scanning flat token files.
 
-    A null or empty text has no tokens. Repeated rows are counted each. No file is written for an
-    empty table, and its result is empty.
+    A null or empty text has no tokens. Repeated rows are counted each, and rows without id too. Very long
+    texts are counted whole, over as many blocks as they take. No file is written for an empty table, and
+    its result is empty. Only the named columns are read, under names of their own.
     """
     docs = numbered(docs)
     written = write_token_files(docs, path, text)
