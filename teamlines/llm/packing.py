@@ -30,7 +30,7 @@ from teamlines.session import materialized
 
 WINDOW = 1024
 SEPARATOR = 0  # fixed value: the id after each document
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 1_024
 FANOUT = 1024  # blocks whose totals one task adds up
 
 
@@ -176,24 +176,24 @@ def pack(docs: DataFrame, window=WINDOW, targets=None, path=None, text="text", d
 
     def lay(batches):
         for batch in batches:
-            out = {k: [] for k in ("at", "start", "length", "ids", "crc", "sequence_id", "offset")}
-            for i, (data, parts) in enumerate(zip(batch.column("ids").to_pylist(), batch.column("pieces").to_pylist())):
-                ids = np.frombuffer(data, "<u2")
-                for start, length, sequence, offset in _joined(parts):
-                    part = ids[start : start + length]
-                    out["at"].append(i)
-                    out["start"].append(start)
-                    out["length"].append(length)
-                    out["ids"].append(part.tobytes())
-                    out["crc"].append(zlib.crc32(part.astype("<u4").tobytes()))
-                    out["sequence_id"].append(sequence)
-                    out["offset"].append(offset)
-            at = pa.array(out["at"], pa.int64())
+            listed = batch.column("pieces")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(listed.offsets.to_numpy()))
+            start, length, sequence, offset = (x.to_numpy(zero_copy_only=False) for x in listed.flatten().flatten())
+            first = _first_of_runs(owner, start, length, sequence, offset)
+            owner, start, sequence, offset = owner[first], start[first], sequence[first], offset[first]
+            length = np.add.reduceat(length, first) if len(first) else length
+            # A document's pieces are all of its ids in order, so the documents' bytes are the pieces' bytes.
+            data = b"".join(batch.column("ids").to_pylist())
+            ends = np.concatenate([[0], np.cumsum(length)])
+            wide = memoryview(np.frombuffer(data, "<u2").astype("<u4").tobytes())
+            cuts = (4 * ends).tolist()
+            crc = [zlib.crc32(wide[i:j]) for i, j in zip(cuts, cuts[1:])]
+            ids = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer((2 * ends).astype(np.int64).tobytes()), pa.py_buffer(data)]).cast(pa.binary())
+            at = pa.array(owner)
             whole = lambda name: batch.column(name).take(at)
-            long = lambda name: pa.array(out[name], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [whole("row_id"), whole("doc_id"), whole("source"), long("start"), long("length"), pa.array(out["ids"], pa.binary()),
-                 long("crc"), whole("tokens"), long("sequence_id"), long("offset")],
+                [whole("row_id"), whole("doc_id"), whole("source"), pa.array(start), pa.array(length), ids, pa.array(crc, pa.int64()), whole("tokens"),
+                 pa.array(sequence), pa.array(offset)],
                 names=["row_id", "doc_id", "source", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
@@ -204,15 +204,8 @@ def pack(docs: DataFrame, window=WINDOW, targets=None, path=None, text="text", d
     )
 
 
-def _joined(parts):
-    """Pieces of one document in order; neighbours in a sequence become one."""
-    start = length = sequence = offset = None
-    for p in parts:
-        if sequence == p["sequence_id"] and p["start"] == start + length and p["offset"] == offset + length:
-            length += p["length"]
-            continue
-        if length:
-            yield start, length, sequence, offset
-        start, length, sequence, offset = p["start"], p["length"], p["sequence_id"], p["offset"]
-    if length:
-        yield start, length, sequence, offset
+def _first_of_runs(owner, start, length, sequence, offset):
+    """Where the pieces begin that don't go on from the one before, in the same document and sequence."""
+    on = (owner[1:] == owner[:-1]) & (sequence[1:] == sequence[:-1])
+    on &= (start[1:] == start[:-1] + length[:-1]) & (offset[1:] == offset[:-1] + length[:-1])
+    return np.flatnonzero(np.concatenate([[True], ~on])[: len(owner)])
