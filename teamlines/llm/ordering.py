@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from teamlines.session import scratch_path
+from teamlines.session import materialized, scratch_path
 
 HOT_KEYS = 10_000
 
@@ -32,15 +32,26 @@ def in_order(df: DataFrame, *keys, name="position"):
     return placed.select(*df.columns, (F.col("_first") + F.col("_at")).alias(name))
 
 
+def hot_keys(counts: DataFrame, keys, count, hot=HOT_KEYS):
+    """The ``keys`` of ``counts`` that have at least one in ``hot`` of all rows: at most ``hot``, written once as one file."""
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    return materialized(counts.where(F.col(count) * hot >= F.lit(total)).select(*keys).repartition(1))
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys, frequent: DataFrame):
+    """``left`` joined with ``right``, whose ``keys`` are unique; those in ``frequent`` (few) are broadcast, the rest shuffled.
+
+    ``left`` and ``right`` are each read twice.
+    """
+    listed = F.broadcast(frequent)
+    many = F.broadcast(right.join(listed, keys, "left_semi"))
+    return left.join(many, keys).unionByName(left.join(listed, keys, "left_anti").join(right, keys))
+
+
 def join_counted(left: DataFrame, right: DataFrame, keys, count, hot=HOT_KEYS):
     """``left`` joined with ``right``, whose ``keys`` are unique and whose ``count`` is how many rows of ``left`` have them.
 
     Keys with at least one in ``hot`` of all rows are at most ``hot``: they are broadcast. The rest are
     shuffled, where no key has more than that share. ``right`` is read several times.
     """
-    total = right.agg(F.sum(count)).first()[0] or 0
-    frequent = F.col(count) * hot >= F.lit(total)
-    many = F.broadcast(right.where(frequent).drop(count))
-    few = right.where(~frequent).drop(count)
-    rare = left.join(F.broadcast(right.where(frequent).select(*keys)), keys, "left_anti")
-    return left.join(many, keys).unionByName(rare.join(few, keys))
+    return join_hot(left, right.drop(count), keys, hot_keys(right, keys, count, hot))
