@@ -64,6 +64,21 @@ def test_split_breaks_up_the_hot_team(skewed):
     assert largest < 60
 
 
+def test_small_pieces_share_partitions(spark, skewed):
+    """A low limit makes short pieces, not a task for each."""
+    hot = history.find_hot(skewed, 1)
+    cut = history._cut(skewed, ["team"], ("date", "game_id"), hot)
+    assert cut.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions")) < hot.rows
+    pieces = cut.groupBy("team", history.CHUNK).count()
+    assert pieces.agg(F.max("count")).first()[0] == 1 and pieces.count() == hot.rows
+
+
+def test_rows_that_come_twice_are_split_alike(skewed):
+    twice = skewed.unionByName(skewed)
+    plain = rolling.create_team_rolling_features(twice)
+    assert rows_of(rolling.create_team_rolling_features(twice, hot_rows=3)) == rows_of(plain)
+
+
 def test_missing_team_is_kept(skewed):
     odd = skewed.withColumn("team", F.when(F.col("team") != "HOT", F.col("team")))
     plain = rolling.create_team_rolling_features(odd)
