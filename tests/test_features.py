@@ -5,13 +5,15 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import one_team, rows_of, schedule, values
+from contract.queries import rounded
+from helpers import SMALL, one_team, rows_of, schedule, values
 from teamlines.functions import windows as w
 from teamlines.operators import betting, catalog, game_level, impute, rolling
 from teamlines.operators.joins import opponent_columns, pair_sides
 from teamlines.plans import features as f
 from teamlines.plans.scoring import format_predictions
 from teamlines.schema import TEAM_GAME_COLUMNS
+from teamlines.sources.sample_tables import team_games
 from teamlines.sources.schedules import (
     countable_games,
     load_games,
@@ -248,3 +250,24 @@ def test_no_years_means_no_season(spark, tmp_path):
     schedule(spark, [dict(season=2020), dict(season=2008)]).write.parquet(path)
     assert load_schedules(spark, path, []).count() == 0
     assert load_schedules(spark, path).count() == 2
+
+
+def test_rounding_is_that_of_spark(spark):
+    values = [0.0, -0.0, 1e-9, -1e-9, 0.5e-6, 1.5e-6, -2.5e-6, 1.0000005, 2.6753215, 99999.9999995, 123456.1234565, 1e11, -1e300, float("inf"), float("nan"), None]
+    values += [(i * 7919 % 99991) / 777 * (-1) ** i for i in range(3000)] + [i / 2e6 for i in range(-500, 500)]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    both = rounded(rows.select("x", F.col("x").alias("y"))).select(F.col("x").cast("string").alias("got")).collect()
+    want = rows.select(F.round("x", 6).cast("string").alias("want")).collect()
+    assert [r.got for r in both] == [r.want for r in want]
+
+
+def test_teams_alone_need_no_scores(spark):
+    plan = team_games(spark, SMALL).groupBy("team").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_quantity" not in plan and "Join" not in plan
+
+
+def test_derived_columns_are_not_shuffled(spark):
+    built = f.build_features(one_team(spark, [3, 7, 10, 14, 17]))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    last = plan[plan.rindex("Exchange hashpartitioning(opp"):] if "Exchange hashpartitioning(opp" in plan else plan
+    assert "pd_avg_3" not in last and "spread_line_signed" not in last
