@@ -3,13 +3,14 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from contract.queries import QUICK, QUICK_FOREST, QUICK_SELECTOR, QUICK_SPACE
 from teamlines.operators.impute import fill_medians
 from teamlines.operators.splits import contiguous_folds
-from teamlines.plans import encode, models
+from teamlines.plans import betting_runs, encode, models
 from teamlines.plans.betting_runs import BACKTEST_FEATURES, run_backtest, run_training
 from teamlines.plans.features import LINES, build_features, create_all_features
 from teamlines.plans.prepare import prepare_data
@@ -162,6 +163,58 @@ def test_games_without_scores_get_intervals(team_games):
     assert got[0] > 0 and len(set(got)) == 1
 
 
+def test_forest_of_many_rows_is_fitted_in_parts(spark, tmp_path, monkeypatch):
+    rows = spark.range(400).selectExpr("CAST(id % 2 AS DOUBLE) AS label", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 2 + id % 5 AS DOUBLE) AS b")
+    train = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).persist()
+    sizes, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: sizes.append(self.getNumTrees()) or fit(self, df))
+    whole = betting_runs.fit_forest(train, dict(numTrees=11, maxDepth=3))
+    assert sizes == [11] and whole.getNumTrees == 11
+    sizes.clear()
+    monkeypatch.setattr(betting_runs, "BAGGED", 1600)
+    monkeypatch.setattr(betting_runs, "LEAST_TREES", 2)
+    model = betting_runs.fit_forest(train, dict(numTrees=11, maxDepth=3))
+    assert sizes == [4, 4, 3] and model.getNumTrees == len(model.trees) == 11
+    assert len({t.toDebugString.partition("\n")[2] for t in model.trees}) > 4
+    row = train.first().features
+    votes = sum(t.predictRaw(row).toArray() / t.predictRaw(row).toArray().sum() for t in model.trees) / 11
+    assert list(model.predictProbability(row).toArray()) == pytest.approx(list(votes))
+    model.write().overwrite().save(str(tmp_path / "forest"))
+    assert RandomForestClassificationModel.load(str(tmp_path / "forest")).getNumTrees == 11
+    train.unpersist()
+
+
+def test_final_fit_reads_the_picked_features_alone(prepared, monkeypatch):
+    train, test, names, target = prepared
+    seen, fit = [], models.fit_model
+    monkeypatch.setattr(models, "fit_model", lambda kind, rows, *a, **k: seen.append((rows.columns, rows.storageLevel.useMemory)) or fit(kind, rows, *a, **k))
+    models.train_final(train, test, names, target, "forest", n_features=4, forest=QUICK_FOREST, selector=QUICK_SELECTOR)
+    assert seen == [(["game_id", "is_home", "label", "features"], True)]
+
+
+def test_walk_forward_lays_its_rows_out_once(prepared, monkeypatch):
+    train, _, names, target = prepared
+    calls, laid_out = [], models.matrix
+    monkeypatch.setattr(models, "matrix", lambda *a, **k: calls.append(1) or laid_out(*a, **k))
+    models.walk_forward(
+        train, names[:6], target, n_folds=2, models=["forest"], n_features=3, trials=0, forest=QUICK_FOREST, selector=QUICK_SELECTOR
+    )
+    assert len(calls) == 1
+
+
+def test_search_of_many_rows_runs_fewer_fits_at_a_time(small, monkeypatch):
+    rows, _ = small
+    ran, side_by_side = [], models._side_by_side
+    monkeypatch.setattr(models, "_side_by_side", lambda spark, work, items, n: ran.append(n) or side_by_side(spark, work, items, n))
+    fit_rows, check = rows.where("block < 2"), rows.where("block = 2")
+    first = models.random_search(fit_rows, check, trials=2, space=QUICK_SPACE)
+    monkeypatch.setattr(models, "ROWS_AT_ONCE", 1)
+    second = models.random_search(fit_rows, check, trials=2, space=QUICK_SPACE)
+    assert ran == [4, 1]
+    assert first[0] == second[0]
+    assert [(r.trial, r.rounds, r.chosen) for r in first[1].collect()] == [(r.trial, r.rounds, r.chosen) for r in second[1].collect()]
+
+
 def test_backtest_and_training_run(team_games):
     built = materialized(build_features(team_games))
     report, summary = run_backtest(built, BACKTEST_FEATURES, settings=dict(numTrees=5))
