@@ -7,7 +7,9 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from contract import queries
 from contract.queries import QUICK, QUICK_FOREST, QUICK_SELECTOR, QUICK_SPACE
+from helpers import SMALL
 from teamlines.operators.impute import fill_medians
 from teamlines.operators.splits import contiguous_folds
 from teamlines.plans import betting_runs, encode, models
@@ -107,6 +109,30 @@ def test_missing_numbers_become_zero_with_a_flag(spark):
     assert got == [[0.0, 1.0, 1.0], [2.0, 0.0, 0.0]]
 
 
+def test_inputs_are_assembled_outside_of_whole_stage_code(spark, prepared):
+    train, _, names, target = prepared
+    stages, _ = encode.encoding_stages(train, names)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan is then the one that runs
+    try:
+        plan = models.matrix(train, stages, target)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assembled = [line for line in plan.splitlines() if "Project [" in line and "UDF(struct(" in line]
+    assert assembled and not any("*(" in line.split("Project [")[0] for line in assembled)
+
+
+def test_selector_query_lays_its_rows_out_once(spark, monkeypatch):
+    seen, importance = [], models.feature_importance
+    monkeypatch.setattr(models, "feature_importance", lambda rows, *a, **k: seen.append(rows) or importance(rows, *a, **k))
+    found = queries.feature_select(spark, SMALL)
+    assert found.agg(F.sum("importance")).first()[0] == pytest.approx(1)
+    held = seen[0].storageLevel
+    assert not (held.useMemory or held.useDisk)  # released at the end
+    monkeypatch.setattr(models, "feature_importance", lambda rows, *a, **k: rows.storageLevel.useMemory)
+    assert queries.feature_select(spark, SMALL)
+
+
 def test_unknown_category_gives_zeros(spark, prepared):
     train = prepared[0]
     odd = train.limit(1).withColumn("roof", F.lit("glass"))
