@@ -250,3 +250,28 @@ def test_backtest_and_training_run(team_games):
     assert 0.35 <= found["best_threshold"] <= 0.65
     assert found["roi_60"]["threshold"] >= 0.6
     assert found["test_size"] > 0
+
+
+class Seen(Exception):
+    """Ends a run where its test has seen enough."""
+
+
+@pytest.mark.parametrize("walk", [False, True])
+def test_matrix_of_all_features_leaves_the_memory_to_bins(prepared, monkeypatch, walk):
+    train, test, names, target = prepared
+    made, levels, lay_out = [], [], models.matrix
+
+    def kept(*args):
+        made.append(lay_out(*args))
+        return made[-1]
+
+    def looked_at(*args, **kwargs):
+        levels.append(made[0].storageLevel)
+        raise Seen
+
+    monkeypatch.setattr(models, "matrix", kept)
+    monkeypatch.setattr(models, "feature_importance", looked_at)
+    with pytest.raises(Seen):
+        models.walk_forward(train, names, target, n_folds=2) if walk else models.train_final(train, test, names, target)
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
+    assert not made[0].storageLevel.useDisk
