@@ -275,3 +275,8 @@ def test_matrix_of_all_features_leaves_the_memory_to_bins(prepared, monkeypatch,
         models.walk_forward(train, names, target, n_folds=2) if walk else models.train_final(train, test, names, target)
     assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
     assert not made[0].storageLevel.useDisk
+
+
+def test_search_keeps_the_rows_it_fits_in_memory_and_the_others_on_disk(spark):
+    levels = queries._first_fold(spark, SMALL, lambda *frames: [frame.storageLevel for frame in frames])
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, True), (True, False)]
