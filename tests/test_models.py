@@ -210,6 +210,15 @@ def test_forest_of_many_rows_is_fitted_in_parts(spark, tmp_path, monkeypatch):
     train.unpersist()
 
 
+def test_forest_keeps_the_nodes_of_its_rows_and_grows_the_same_trees(small, monkeypatch):
+    rows = small[0].withColumn("label", (F.col("label") > 22).cast("double"))
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: seen.append(self.getCacheNodeIds()) or fit(self, df))
+    kept, plain = (betting_runs.fit_forest(rows, dict(numTrees=6, **more)) for more in ({}, {"cacheNodeIds": False}))
+    assert seen == [True, False] and kept.getMaxDepth() == plain.getMaxDepth() == 6
+    assert [t.toDebugString.partition("\n")[2] for t in kept.trees] == [t.toDebugString.partition("\n")[2] for t in plain.trees]
+
+
 def test_final_fit_reads_the_picked_features_alone(prepared, monkeypatch):
     train, test, names, target = prepared
     seen, fit = [], models.fit_model
